@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+# JSON texts of the values that count as empty. Spark writes every whole or
+# decimal zero as 0 and a floating-point zero as 0.0 or -0.0.
+FALSY_JSON = ("null", "false", '""', "0", "0.0", "-0.0", "[]", "{}")
+
 
 def falsy_to_null(column: str | Column, dtype: T.DataType) -> Column:
     """Null for the "nothing there" value of the column's type, else the value.
@@ -14,12 +18,7 @@ def falsy_to_null(column: str | Column, dtype: T.DataType) -> Column:
     """
     col = F.col(column) if isinstance(column, str) else column
     if isinstance(dtype, T.VariantType):
-        text = F.to_json(col)
-        number = F.try_variant_get(col, "$", "double")
-        # schema_of_variant tells 0 from "0", which both cast to zero.
-        is_text = F.schema_of_variant(col) == F.lit("STRING")
-        falsy = text.isin("null", "false", '""', "[]", "{}") | (~is_text & (number == 0))
-        return F.when(col.isNotNull() & ~F.coalesce(falsy, F.lit(False)), col)
+        return F.when(~F.to_json(col).isin(*FALSY_JSON), col)
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
         return F.nullif(col, F.lit(""))
     if isinstance(dtype, T.BooleanType):

@@ -72,11 +72,12 @@ SQL: dict[str, str] = {}
 RUN_DATE = "2026-03-07"
 
 
-def registered(sql: str | None = None) -> Callable[[Run], Run]:
+def registered(sql: str, name: str | None = None) -> Callable[[Run], Run]:
+    """Register a function under its own name, or ``name``, with its SQL."""
+
     def add(run: Run) -> Run:
-        QUERIES[run.__name__] = run
-        if sql is not None:
-            SQL[run.__name__] = sql
+        QUERIES[name or run.__name__] = run
+        SQL[name or run.__name__] = sql
         return run
 
     return add
@@ -324,7 +325,6 @@ def race_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a race document with 0 to 4 results."""
     text = lambda column: F.col(column).cast("string")
     count = F.substring("o_orderpriority", 1, 1).cast("int") - 1
-    places = F.slice(F.array(*[F.lit(i) for i in range(1, 5)]), F.lit(1), count)
 
     def result(i: Column) -> Column:
         place = i.cast("string")
@@ -357,7 +357,9 @@ def race_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 text("o_custkey").alias("circuitId"),
                 F.concat(F.lit("Circuit "), text("o_custkey")).alias("circuitName"),
             ).alias("circuit"),
-            F.transform(places, result).alias("results"),
+            F.slice(F.array(*[result(F.lit(i)) for i in range(1, 5)]), F.lit(1), count).alias(
+                "results"
+            ),
         ).alias("races"),
     )
 
@@ -492,7 +494,10 @@ def drop_dated_files(spark, sf_dir):
     return read_load_dates(spark, path, DATED)
 
 
-@registered(f"SELECT * FROM ({DATED_SQL}) WHERE load_date <> '19980101'")
+@registered(
+    f"SELECT * FROM ({DATED_SQL}) WHERE load_date <> '19980101'",
+    name="drop_load_date",
+)
 def drop_load_date_of_table(spark, sf_dir):
     table = f"{new_namespace(spark, 'dated')}.orders"
     orders = dated_orders(spark, sf_dir).hint("rebalance", "load_date")
@@ -560,7 +565,10 @@ def concat_plus(spark, sf_dir):
     return open_table(spark, sf_dir, "part").select("p_partkey", label.alias("label"))
 
 
-@registered("SELECT doc_id, NULLIF(toxic, 0) AS toxic, NULLIF(quality, 0) AS quality FROM labels")
+@registered(
+    "SELECT doc_id, NULLIF(toxic, 0) AS toxic, NULLIF(quality, 0) AS quality FROM labels",
+    name="falsy_to_null",
+)
 def falsy_values_to_null(spark, sf_dir):
     labels = open_table(spark, sf_dir, "labels")
     return labels.select(
@@ -592,7 +600,8 @@ def url_valid(spark, sf_dir):
 
 @registered(
     """SELECT o_orderkey, strftime(o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS load_date,
-              strftime(o_orderdate - INTERVAL 1 DAY, '%Y') AS season FROM orders"""
+              strftime(o_orderdate - INTERVAL 1 DAY, '%Y') AS season FROM orders""",
+    name="load_date_key",
 )
 def load_date_keys(spark, sf_dir):
     key = load_date_key("o_orderdate")
@@ -637,7 +646,10 @@ def required_fields(spark, sf_dir):
     )
 
 
-@registered("SELECT count(*) AS rows FROM lineitem")
+@registered(
+    "SELECT count(*) AS rows FROM lineitem",
+    name="row_count",
+)
 def row_counts(spark, sf_dir):
     return row_count(open_table(spark, sf_dir, "lineitem"))
 
@@ -650,15 +662,3 @@ def preview_n(spark, sf_dir):
     orders = open_table(spark, sf_dir, "orders")
     first = preview(orders, 5, ["o_orderkey"])
     return first.select("o_orderkey", "o_totalprice", day_text("o_orderdate"))
-
-
-# Names under which the entries are looked up, where they differ from the function.
-RENAMED = {
-    "falsy_to_null": "falsy_values_to_null",
-    "load_date_key": "load_date_keys",
-    "row_count": "row_counts",
-    "drop_load_date": "drop_load_date_of_table",
-}
-for _name, _function in RENAMED.items():
-    QUERIES[_name] = QUERIES.pop(_function)
-    SQL[_name] = SQL.pop(_function)
