@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from haulage.functions.required import any_missing, missing_names
+from haulage.functions.required import require
 
 
 class CheckFailed(RuntimeError):
@@ -83,17 +83,13 @@ def verify(written: Fingerprint, target: DataFrame, what: str) -> Fingerprint:
     return found
 
 
-def enforce_required(df: DataFrame, required: Mapping[str, Column], what: str) -> DataFrame:
-    """``df`` unchanged, but running it fails if a required column is null.
+def enforce_required(df: DataFrame, names: Iterable[str], what: str) -> DataFrame:
+    """``df`` unchanged, but using a required column that is null fails the job.
 
-    The check rides on the pass that writes the data, so it costs no scan of
-    its own: one missing value fails the task, the job aborts before it
-    commits, and the old output stays. The error names what is missing.
+    The check costs no pass of its own; see :mod:`haulage.functions.required`.
     """
-    message = F.concat(F.lit(f"{what}: missing required keys: "), missing_names(required))
-    return df.filter(
-        F.when(any_missing(required), F.raise_error(message)).otherwise(F.lit(True))
-    )
+    columns = {name: F.col(f"`{name}`") for name in names}
+    return df.withColumns({name: require(col, columns, what) for name, col in columns.items()})
 
 
 def missing_counts(df: DataFrame, required: Iterable[str] | Mapping[str, Column]) -> DataFrame:

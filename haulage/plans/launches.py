@@ -11,11 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from haulage.functions import has_scheme, target_name
+from haulage.functions import has_scheme, require, target_name
 from haulage.operators import (
     assert_ready,
     distinct_count,
-    enforce_required,
     field_of_each,
     last_write_wins,
 )
@@ -42,9 +41,14 @@ def list_images(documents: DataFrame, document: str | Column) -> DataFrame:
     A launch without the image key fails the job.
     """
     document = F.col(document) if isinstance(document, str) else document
-    complete = enforce_required(documents, {"results": F.col("results")}, "launch document")
-    images = field_of_each(complete, "results", "image", {"document": document})
-    images = enforce_required(images, {"image": F.col("image")}, "launch")
+    launches = require(F.col("results"), {"results": F.col("results")}, "launch document")
+    images = field_of_each(
+        documents,
+        launches,
+        "image",
+        {"document": document},
+        check=lambda launch: require(launch, {"image": launch["image"]}, "launch"),
+    )
     urls = images.select("document", "pos", F.col("image").cast("string").alias("url"))
     name = target_name("url")
     return urls.select(

@@ -12,8 +12,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from haulage.functions import as_date_text, concat_strict, falsy_to_null
-from haulage.operators import Fingerprint, assert_ready, enforce_required, explode_records
+from haulage.functions import as_date_text, concat_strict, falsy_to_null, require
+from haulage.operators import Fingerprint, assert_ready, explode_records
 from haulage.schema import struct_of
 from haulage.sinks import replace_load_dates
 from haulage.sources import read_json_documents, read_load_dates
@@ -75,6 +75,19 @@ RACE_FIELDS = {
     "circuit_name": "races.circuit.circuitName",
 }
 
+RESULT_FIELDS = {
+    "driver_id": "driver.driverId",
+    "driver_name": lambda r: concat_strict(_at(r, "driver.name"), F.lit(" "), _at(r, "driver.surname")),
+    "team_id": "team.teamId",
+    "team_name": "team.teamName",
+    "position": "position",
+    "grid_position": "grid",
+    "points": "points",
+    "time": "time",
+    "fastest_lap_time": lambda r: falsy_to_null(r["fastLap"], _ANY),
+    "retired": lambda r: falsy_to_null(r["retired"], _ANY),
+}
+
 # Keys every result must have. Only fastLap and retired may be absent.
 RESULT_KEYS = (
     "driver.driverId",
@@ -96,16 +109,10 @@ def flatten(documents: DataFrame) -> DataFrame:
     lacks a required key fails the job.
     """
     race_keys = [*RACE_FIELDS.values(), "races.results"]
-    complete = enforce_required(
-        documents, {key: F.col(key) for key in race_keys}, "race document"
-    )
-    results = explode_records(
-        complete, "races.results", RACE_FIELDS, {"result": F.col("result")}, element="result"
+    results = require(
+        F.col("races.results"), {key: F.col(key) for key in race_keys}, "race document"
     )
-    results = enforce_required(
-        results, {key: F.col(f"result.{key}") for key in RESULT_KEYS}, "race result"
-    )
-    return results.select(*RACE_FIELDS, *_result_columns())
+    return explode_records(documents, results, RACE_FIELDS, RESULT_FIELDS, check=_complete)
 
 
 def typed(records: DataFrame) -> DataFrame:
@@ -143,19 +150,11 @@ def read_results(spark: SparkSession, output_path: str) -> DataFrame:
     return read_load_dates(spark, output_path, RECORD)
 
 
-def _result_columns() -> list[Column]:
-    result = F.col("result")
-    full_name = concat_strict(result["driver"]["name"], F.lit(" "), result["driver"]["surname"])
-    columns = {
-        "driver_id": result["driver"]["driverId"],
-        "driver_name": full_name,
-        "team_id": result["team"]["teamId"],
-        "team_name": result["team"]["teamName"],
-        "position": result["position"],
-        "grid_position": result["grid"],
-        "points": result["points"],
-        "time": result["time"],
-        "fastest_lap_time": falsy_to_null(result["fastLap"], _ANY),
-        "retired": falsy_to_null(result["retired"], _ANY),
-    }
-    return [col.alias(name) for name, col in columns.items()]
+def _complete(result: Column) -> Column:
+    return require(result, {key: _at(result, key) for key in RESULT_KEYS}, "race result")
+
+
+def _at(record: Column, path: str) -> Column:
+    for key in path.split("."):
+        record = record[key]
+    return record

@@ -115,23 +115,32 @@ def test_missing_counts(spark):
 
 def test_enforce_required_passes_complete_rows(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
-    assert rows(enforce_required(df, {"a": F.col("a")}, "row")) == [(1, "x")]
+    assert rows(enforce_required(df, ["a"], "row")) == [(1, "x")]
 
 
 def test_enforce_required_names_what_is_missing(spark):
     df = spark.createDataFrame([(1, None, None)], "a int, b string, c string")
-    checked = enforce_required(df, {n: F.col(n) for n in "abc"}, "row")
+    checked = enforce_required(df, ["a", "b", "c"], "row")
     with pytest.raises(Exception, match="row: missing required keys: b, c"):
         checked.select("a").collect()
 
 
+@pytest.mark.parametrize("condition", ["a > 1", "a IS NOT NULL", "a = 1 AND b = 'x'", "b LIKE 'x%'"])
+def test_enforce_required_is_not_filtered_away(spark, condition):
+    path = scratch_dir(spark, "required")
+    spark.createDataFrame([(1, "x"), (None, "x"), (2, None)], "a int, b string").write.parquet(path)
+    checked = enforce_required(spark.read.parquet(path), ["a", "b"], "row")
+    with pytest.raises(Exception, match="missing required keys"):
+        checked.filter(condition).collect()
+
+
 def test_failed_check_keeps_old_output(spark):
     path = scratch_dir(spark, "check")
     spark.range(3).write.parquet(path)
     broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).alias("id"))
     with pytest.raises(Exception, match="missing required keys"):
         (
-            enforce_required(broken, {"id": F.col("id")}, "row")
+            enforce_required(broken, ["id"], "row")
             .withColumn("day", F.lit("d"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
