@@ -17,19 +17,29 @@ from haulage.operators import (
     distinct_count,
     field_of_each,
     last_write_wins,
+    observed_metrics,
 )
 from haulage.schema import struct_of
-from haulage.sinks import write_parquet
+from haulage.sinks import open_writers, write_parquet
 from haulage.sources import read_json_documents
 
 DOCUMENT = struct_of(results=T.ArrayType(struct_of(image=T.VariantType())))
 
+LISTING = struct_of(
+    document=T.StringType(),
+    pos=T.IntegerType(),
+    url=T.StringType(),
+    name=T.StringType(),
+    valid=T.BooleanType(),
+)
+
 
 @dataclass(frozen=True)
 class ManifestRun:
     """What one run wrote."""
 
     files: int
+    valid_urls: int
     invalid_urls: int
 
 
@@ -78,16 +88,22 @@ def run(
     output_path: str,
     multi_line: bool = True,
 ) -> ManifestRun:
-    """Write the manifest and the list of invalid URLs below ``output_path``.
+    """Write the listing of all URLs and the manifest below ``output_path``.
 
-    Documents are ordered by their path.
+    The documents are parsed once, into ``listing``, split by ``valid``; the
+    manifest is taken from its valid part. Documents are ordered by their path.
     """
-    documents = read_json_documents(spark, documents_path, DOCUMENT, multi_line)
-    images = list_images(
-        assert_ready(documents).select("results", F.col("_metadata.file_path").alias("path")),
-        "path",
-    )
-    root = output_path.rstrip("/")
-    files = write_parquet(manifest(images), f"{root}/manifest")
-    invalid = write_parquet(images.filter("NOT valid"), f"{root}/invalid")
-    return ManifestRun(files.rows, invalid.rows)
+    documents = assert_ready(
+        read_json_documents(spark, documents_path, DOCUMENT, multi_line)
+    ).withColumn("path", F.col("_metadata.file_path"))
+    listing = f"{output_path.rstrip('/')}/listing"
+    valid = F.col("valid")
+    with open_writers(spark):
+        counts = observed_metrics(
+            list_images(documents, "path"),
+            lambda out: out.write.mode("overwrite").partitionBy("valid").parquet(listing),
+            [F.count_if(valid).alias("valid"), F.count_if(~valid).alias("invalid")],
+        )
+    images = spark.read.schema(LISTING).parquet(listing)
+    files = write_parquet(manifest(images), f"{output_path.rstrip('/')}/manifest")
+    return ManifestRun(files.rows, counts["valid"], counts["invalid"])

@@ -269,8 +269,7 @@ def csv_scan_inferred(spark, sf_dir):
 )
 def csv_glob_scan(spark, sf_dir):
     path = scratch_dir(spark, "csv")
-    files = spark.sparkContext.defaultParallelism
-    write_csv(open_table(spark, sf_dir, "supplier").repartition(files), path)
+    write_csv(open_table(spark, sf_dir, "supplier"), path)
     return read_csv_folder(spark, path)
 
 
@@ -400,7 +399,7 @@ def nested_flatten(spark, sf_dir):
 def race_results_by_date(spark, sf_dir):
     path = landed_race_documents(spark, sf_dir)
     output = scratch_dir(spark, "race-results")
-    for run_date in ("2026-03-07", "2026-03-08", "2026-03-08"):  # the last is a rerun
+    for run_date in ("2026-03-07", "2026-03-08"):
         races.run(spark, path, output, run_date, multi_line=False)
     return races.read_results(spark, output)
 

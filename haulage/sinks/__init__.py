@@ -5,6 +5,7 @@ from haulage.sinks.files import (
     as_csv_text,
     dated_path,
     drop_load_date,
+    open_writers,
     replace_load_dates,
     write_csv,
     write_parquet,
@@ -18,6 +19,7 @@ __all__ = [
     "drop_load_date",
     "drop_table_load_date",
     "load_table",
+    "open_writers",
     "replace_load_dates",
     "replace_table",
     "write_csv",

@@ -13,8 +13,19 @@ from haulage.operators.checks import Fingerprint, observed_metrics, observed_wri
 from haulage.session import session_setting
 from haulage.sources.files import CsvDialect, PLAIN
 
-# Dates one task writes side by side before Spark sorts its rows by date.
-OPEN_DATES_PER_TASK = 16
+# Partition values one task writes side by side before Spark sorts the rest.
+OPEN_FILES_PER_TASK = 16
+
+
+def open_writers(spark: SparkSession):
+    """Context in which partitioned writes keep one file open per value.
+
+    Spark otherwise sorts every task's rows by the partition column first,
+    even when a task holds a single value.
+    """
+    return session_setting(
+        spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES_PER_TASK)
+    )
 
 
 def dated_path(base: str, name: str, run_date: dt.date | str) -> str:
@@ -63,9 +74,8 @@ def replace_load_dates(
     emptied, so that a rerun that finds nothing leaves nothing stale behind.
 
     A run for one date needs no shuffle and no sort. For many dates set
-    ``rebalance``: AQE
-    then gathers each date into files of even size, and divides a date that
-    holds a large part of the rows among several tasks.
+    ``rebalance``: AQE then gathers each date into files of even size, and
+    divides a date that holds a large part of the rows among several tasks.
     """
     spark = df.sparkSession
     dates = list(dates)
@@ -80,9 +90,7 @@ def replace_load_dates(
         )
 
     per_date = [F.count_if(F.col(date_column) == date).alias(date) for date in dates]
-    with session_setting(
-        spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_DATES_PER_TASK)
-    ):
+    with open_writers(spark):
         metrics = observed_metrics(source, write, [F.count(F.lit(1)).alias("rows"), *per_date])
     for date in dates:
         if metrics[date] == 0:

@@ -224,14 +224,14 @@ def test_image_manifest(spark, tmp_path):
     output = scratch_dir(spark, "manifest")
     for _ in range(2):
         done = launches.run(spark, str(tmp_path / "in"), output)
-        assert (done.files, done.invalid_urls) == (3, 5)
+        assert (done.files, done.valid_urls, done.invalid_urls) == (3, 4, 5)
     manifest = spark.read.parquet(f"{output}/manifest").select("name", "url")
     assert rows(manifest) == [
         ("x.jpg", "https://c/x.jpg"),
         ("y.png", "https://b/y.png"),
         ("z?q=1", "https://e/z?q=1"),
     ]
-    invalid = spark.read.parquet(f"{output}/invalid").select("url")
+    invalid = spark.read.parquet(f"{output}/listing").filter("NOT valid").select("url")
     assert rows(invalid) == sorted([(None,), ("c/x.jpg",), ("https://d/dir/",), ("5",), ("",)], key=repr)
 
 
