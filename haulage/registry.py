@@ -3,7 +3,7 @@
 Each entry is a function ``(spark, sf_dir) -> DataFrame`` with the SQL that
 must give the same rows. All of them work on whole tables. Entries that write
 do so under the shared folder (``spark.checkpoint.dir``), in a new path per
-call. Where a table has no nulls, the entry and its SQL make the same ones.
+call, and these are deleted when the application ends. Where a table has no nulls, the entry and its SQL make the same ones.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from haulage import storage
 from haulage.functions import (
     concat_strict,
     falsy_to_null,
@@ -37,7 +38,7 @@ from haulage.operators import (
 )
 from haulage.plans import customer, launches, parquet_copy, races, replicate, staging
 from haulage.schema import struct_of
-from haulage.session import catalog_settings, scratch_dir, shared_root
+from haulage.session import catalog_settings, scratch_dir, session_dir
 from haulage.sinks import (
     create_namespace,
     drop_load_date,
@@ -52,6 +53,7 @@ from haulage.sinks import (
 from haulage.sources import (
     LOSSLESS,
     Split,
+    count_rows,
     query_catalog,
     read_catalog_table,
     read_csv,
@@ -149,16 +151,18 @@ def csv_roundtrip(spark, sf_dir):
 def jdbc_roundtrip(spark, sf_dir):
     source = working_endpoint(spark, "source")
     target = working_endpoint(spark, "target")
+    base = scratch_dir(spark, "customer")
     write_table(customer_source(spark, sf_dir), source, "customer_source")
     customer.run(
         spark,
         source,
         target,
-        scratch_dir(spark, "customer"),
+        base,
         RUN_DATE,
         source_table="customer_source",
         staging_table="stg_customer",
     )
+    storage.remove(spark, base)
     return read_table(spark, target, "stg_customer")
 
 
@@ -214,7 +218,9 @@ def jdbc_query_scan(spark, sf_dir):
 def jdbc_partitioned_scan(spark, sf_dir):
     database = working_endpoint(spark, "source")
     write_table(open_table(spark, sf_dir, "orders"), database, "orders_scan")
-    orders = read_table(spark, database, "orders_scan", Split(("o_orderkey",), 20_000))
+    reads = spark.sparkContext.defaultParallelism
+    rows_each = -(-count_rows(spark, database, "orders_scan") // reads)
+    orders = read_table(spark, database, "orders_scan", Split(("o_orderkey",), rows_each))
     return orders.withColumn("o_orderdate", day_text("o_orderdate"))
 
 
@@ -300,6 +306,7 @@ def parquet_roundtrip(spark, sf_dir):
     folder = scratch_dir(spark, "convert")
     write_csv(open_table(spark, sf_dir, "lineitem"), f"{folder}/csv")
     copy = parquet_copy.run(spark, f"{folder}/csv", f"{folder}/parquet")
+    storage.remove(spark, f"{folder}/csv")
     return copy.withColumn("l_shipdate", day_text("l_shipdate"))
 
 
@@ -401,6 +408,7 @@ def race_results_by_date(spark, sf_dir):
     output = scratch_dir(spark, "race-results")
     for run_date in ("2026-03-07", "2026-03-08"):
         races.run(spark, path, output, run_date, multi_line=False)
+    storage.remove(spark, path)
     return races.read_results(spark, output)
 
 
@@ -511,7 +519,7 @@ def drop_load_date_of_table(spark, sf_dir):
 def new_namespace(spark: SparkSession, label: str) -> str:
     """A namespace of its own, its tables kept under the shared folder."""
     name = f"{label}_{uuid.uuid4().hex}"
-    create_namespace(spark, name, f"{shared_root(spark)}/haulage/{name}")
+    create_namespace(spark, name, f"{session_dir(spark)}/{name}")
     return name
 
 
@@ -525,6 +533,7 @@ def catalog_replace(spark, sf_dir):
     table = f"{new_namespace(spark, 'staging')}.parts"
     for _ in range(2):  # create, then replace
         staging.run(spark, folder, table)
+    storage.remove(spark, folder)
     return query_catalog(
         spark,
         f"SELECT p_brand, count(*) AS parts, min(p_size) AS smallest,"

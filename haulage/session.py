@@ -15,6 +15,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from haulage import storage
+
 BASE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -118,6 +120,13 @@ def shared_root(spark: SparkSession) -> str:
     return _fallback_roots[app]
 
 
+def session_dir(spark: SparkSession) -> str:
+    """This application's own folder under the shared one, deleted when it ends."""
+    path = f"{shared_root(spark)}/haulage/{spark.sparkContext.applicationId}"
+    storage.make_until_exit(spark, path)
+    return path
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_root(spark)}/haulage/{label}-{uuid.uuid4().hex}"
+    """A new, unused path for intermediate data, gone when the application ends."""
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -20,3 +20,11 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder; False when there was nothing to delete."""
     fs, hadoop_path = _resolve(spark, path)
     return fs.delete(hadoop_path, True)
+
+
+def make_until_exit(spark: SparkSession, path: str) -> None:
+    """Create a folder that is deleted when the driver's JVM ends."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        fs.mkdirs(hadoop_path)
+        fs.deleteOnExit(hadoop_path)

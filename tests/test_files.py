@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from haulage import storage
@@ -55,6 +56,18 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.characters(codec="utf-8"), max_size=8)), max_size=40))
+def test_lossless_csv_gives_any_text_back(spark, texts):
+    texts = [None if t == "\\N" else t for t in texts]
+    path = scratch_dir(spark, "csv")
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, v string").coalesce(1)
+    written = write_csv(df, path, LOSSLESS, checksum=True)
+    back = read_csv(spark, path, "k int, v string", dialect=LOSSLESS)
+    assert rows(back) == rows(df)
+    assert written.rows == len(texts)
+
+
 @pytest.mark.parametrize("separator", [",", ";"])
 def test_lossless_csv_gives_every_value_back(spark, separator):
     path = scratch_dir(spark, "csv")

@@ -120,7 +120,19 @@ def test_split_of_a_small_or_empty_table_is_one_read(spark, database, table):
     assert read_table(spark, database, table, Split()).count() == 0
 
 
-def test_split_without_whole_numbers_is_one_read(spark, database, table):
+@pytest.mark.parametrize("unit", ["date", "timestamp"])
+def test_split_without_whole_numbers_uses_time(spark, database, table, unit):
+    day = F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int"))
+    df = spark.range(100).select(
+        F.when(F.col("id") > 4, day.cast(unit)).alias("at"), F.col("id").cast("string").alias("v")
+    )
+    write_table(df, database, table)
+    found = read_table(spark, database, table, Split(target_rows=25))
+    assert found.rdd.getNumPartitions() == 4
+    assert rows(found) == rows(df)
+
+
+def test_split_without_whole_numbers_or_time_is_one_read(spark, database, table):
     write_table(spark.createDataFrame([("a",)], "v string"), database, table)
     assert read_table(spark, database, table, Split(target_rows=1)).count() == 1
 

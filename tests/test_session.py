@@ -4,7 +4,7 @@ import types
 
 import pytest
 
-from haulage import cli
+from haulage import cli, storage
 from haulage.session import (
     catalog_settings,
     object_store_settings,
@@ -30,7 +30,9 @@ def test_scratch_follows_the_session_setting(spark):
     root = shared_root(spark)
     assert root == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert first != second and first.startswith(f"{root}/haulage/x-")
+    app = spark.sparkContext.applicationId
+    assert first != second and first.startswith(f"{root}/haulage/{app}/x-")
+    assert storage.exists(spark, f"{root}/haulage/{app}") and not storage.exists(spark, first)
 
 
 def test_cluster_without_shared_folder_is_an_error():
