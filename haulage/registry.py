@@ -574,18 +574,14 @@ def concat_plus(spark, sf_dir):
 
 
 @registered(
-    "SELECT doc_id, NULLIF(toxic, 0) AS toxic, NULLIF(quality, 0) AS quality FROM labels",
+    """SELECT doc_id, NULLIF(toxic, 0)::VARCHAR AS toxic, NULLIF(quality, 0)::VARCHAR AS quality
+       FROM labels""",
     name="falsy_to_null",
 )
 def falsy_values_to_null(spark, sf_dir):
     labels = open_table(spark, sf_dir, "labels")
-    return labels.select(
-        "doc_id",
-        *[
-            falsy_to_null(name, labels.schema[name].dataType).alias(name)
-            for name in ("toxic", "quality")
-        ],
-    )
+    kept = {name: falsy_to_null(name, labels.schema[name].dataType) for name in ("toxic", "quality")}
+    return labels.select("doc_id", *[col.cast("string").alias(n) for n, col in kept.items()])
 
 
 @registered("SELECT page_id, split_part(url, '/', -1) AS name FROM pages")

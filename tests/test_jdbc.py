@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from haulage.plans import customer, replicate
-from haulage.session import scratch_dir
+from haulage.session import scratch_dir, session_setting
 from haulage.sinks import load_table, write_table
 from haulage.sources import (
     Bounds,
@@ -120,7 +120,18 @@ def test_split_of_a_small_or_empty_table_is_one_read(spark, database, table):
     assert read_table(spark, database, table, Split()).count() == 0
 
 
-@pytest.mark.parametrize("unit", ["date", "timestamp"])
+def test_timestamps_do_not_depend_on_the_session_time_zone(spark, database, table):
+    at = F.lit("2026-03-29 02:30:00").cast("timestamp_ntz")
+    with session_setting(spark, "spark.sql.session.timeZone", "Europe/Madrid"):
+        write_table(spark.range(1).select(at.alias("at")), database, table)
+        found = read_table(spark, database, table)
+        assert [str(r[0]) for r in found.collect()] == ["2026-03-29 02:30:00"]
+        copy = f"{table}C"
+        write_table(found, database, copy)
+        assert rows(read_table(spark, database, copy)) == rows(found)
+
+
+@pytest.mark.parametrize("unit", ["date", "timestamp_ntz"])
 def test_split_without_whole_numbers_uses_time(spark, database, table, unit):
     day = F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int"))
     df = spark.range(100).select(
@@ -130,6 +141,7 @@ def test_split_without_whole_numbers_uses_time(spark, database, table, unit):
     found = read_table(spark, database, table, Split(target_rows=25))
     assert found.rdd.getNumPartitions() == 4
     assert rows(found) == rows(df)
+    assert max(partition_sizes(spark, database, table, Split(target_rows=25))) < 30
 
 
 def test_split_without_whole_numbers_or_time_is_one_read(spark, database, table):
