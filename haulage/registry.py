@@ -3,7 +3,8 @@
 Each entry is a function ``(spark, sf_dir) -> DataFrame`` with the SQL that
 must give the same rows. All of them work on whole tables. Entries that write
 do so under the shared folder (``spark.checkpoint.dir``), in a new path per
-call, and these are deleted when the application ends. Where a table has no nulls, the entry and its SQL make the same ones.
+call, and these are deleted when the application ends. Where a table has no
+nulls, the entry and its SQL make the same ones.
 """
 
 from __future__ import annotations
@@ -43,7 +44,6 @@ from haulage.sinks import (
     create_namespace,
     drop_load_date,
     drop_table_load_date,
-    load_table,
     replace_load_dates,
     replace_table,
     write_csv,

@@ -207,7 +207,8 @@ def test_rerun_without_rows_empties_its_date(spark):
 def test_failed_rerun_changes_nothing(spark):
     path = scratch_dir(spark, "dated")
     replace_load_dates(dated(spark, (1, "a", "20260101")), path)
-    broken = dated(spark, (2, "b", "20260101")).withColumn("v", F.raise_error(F.lit("broken input")).cast("string"))
+    failing = F.raise_error(F.lit("broken input")).cast("string")
+    broken = dated(spark, (2, "b", "20260101")).withColumn("v", failing)
     with pytest.raises(Exception, match="broken input"):
         replace_load_dates(broken, path, dates=["20260101"])
     assert rows(read_load_dates(spark, path, RECORD)) == [(1, "a", "20260101")]

@@ -243,7 +243,9 @@ def test_later_launch_wins_in_one_document(spark, tmp_path):
     assert rows(launches.file_count(listing)) == [(1,)]
 
 
-@pytest.mark.parametrize("document", [{}, {"results": None}, {"results": [{"name": "x"}]}, {"results": [None]}])
+@pytest.mark.parametrize(
+    "document", [{}, {"results": None}, {"results": [{"name": "x"}]}, {"results": [None]}]
+)
 def test_launch_without_image_key_fails(spark, tmp_path, document):
     put(tmp_path, "1.json", document)
     documents = read_json_documents(spark, str(tmp_path), launches.DOCUMENT)
