@@ -6,7 +6,6 @@ from haulage.operators.checks import (
     assert_ready,
     enforce_required,
     fingerprint,
-    fingerprint_columns,
     missing_counts,
     observed_metrics,
     observed_write,
@@ -28,7 +27,6 @@ __all__ = [
     "explode_records",
     "field_of_each",
     "fingerprint",
-    "fingerprint_columns",
     "keep_in",
     "keep_present",
     "last_write_wins",

@@ -22,47 +22,45 @@ class Fingerprint:
     checksum: int | None = None
 
 
-def fingerprint_columns(df: DataFrame, checksum: bool = True) -> list[Column]:
-    """Aggregates for :class:`Fingerprint`.
+def fingerprint(df: DataFrame, checksum: bool = True) -> DataFrame:
+    """``rows`` and ``checksum`` in one pass, as a one-row DataFrame.
 
-    The checksum sums a 64-bit hash per row, so rows that occur twice count
-    twice. ``xxhash64`` skips nulls; a null flag per column keeps
-    ``(a, null)`` and ``(null, a)`` apart.
+    The checksum adds up a 64-bit hash per row, so rows that occur twice count
+    twice. ``xxhash64`` skips nulls; a null flag per column keeps ``(a, null)``
+    and ``(null, a)`` apart.
     """
-    columns = [F.count(F.lit(1)).alias("rows")]
-    if checksum:
-        inputs: list[Column] = []
-        for field in df.schema.fields:
-            col = F.col(f"`{field.name}`")
-            inputs += [col, col.isNull()]
-        total = F.sum(F.xxhash64(*inputs).cast("decimal(38,0)"))
-        columns.append(F.coalesce(total, F.lit(0).cast("decimal(38,0)")).alias("checksum"))
-    return columns
-
-
-def fingerprint(df: DataFrame, checksum: bool = True) -> DataFrame:
-    """Row count and checksum in one pass, as a one-row DataFrame."""
-    return df.agg(*fingerprint_columns(df, checksum))
+    if not checksum:
+        return df.agg(*_totals(False))
+    totals = _with_row_hash(df).agg(*_totals(True))
+    whole = "decimal(38,0)"
+    total = F.lit(0).cast(whole)
+    for i in range(_PIECES):
+        weight = F.lit(1 << (_PIECE_BITS * i)).cast(whole)
+        total += F.coalesce(F.col(f"piece{i}"), F.lit(0)).cast(whole) * weight
+    return totals.select("rows", total.cast(whole).alias("checksum"))
 
 
 def take_fingerprint(df: DataFrame, checksum: bool = True) -> Fingerprint:
-    """Run :func:`fingerprint` and give its one row back."""
-    return _as_fingerprint(fingerprint(df, checksum).first().asDict())
+    """Count and, unless told not to, hash the rows of ``df``."""
+    hashed = _with_row_hash(df) if checksum else df
+    return _as_fingerprint(hashed.agg(*_totals(checksum)).first().asDict())
 
 
 def observed_metrics(
     df: DataFrame,
     write: Callable[[DataFrame], None],
     metrics: Iterable[Column],
+    drop: Iterable[str] = (),
 ) -> dict:
     """Write ``df`` and return aggregates of the rows that passed to the writer.
 
     The source is scanned once. ``write`` must add no shuffle of its own:
     metrics from a stage before a shuffle would be counted again if a lost
-    executor made Spark repeat part of it.
+    executor made Spark repeat part of it. Columns in ``drop`` are there for
+    the metrics only.
     """
     watch = Observation()
-    write(df.observe(watch, *metrics))
+    write(df.observe(watch, *metrics).drop(*drop))
     return watch.get
 
 
@@ -71,8 +69,13 @@ def observed_write(
     write: Callable[[DataFrame], None],
     checksum: bool = False,
 ) -> Fingerprint:
-    """:func:`observed_metrics` for the fingerprint of the rows written."""
-    return _as_fingerprint(observed_metrics(df, write, fingerprint_columns(df, checksum)))
+    """:func:`observed_metrics` for the fingerprint of the rows written.
+
+    Observing is done row by row, outside generated code. So the hash is a
+    column, computed before, and only whole numbers are left to add up.
+    """
+    source = _with_row_hash(df) if checksum else df
+    return _as_fingerprint(observed_metrics(source, write, _totals(checksum), [_ROW_HASH]))
 
 
 def verify(written: Fingerprint, target: DataFrame, what: str) -> Fingerprint:
@@ -137,6 +140,34 @@ def assert_ready(
     return df
 
 
+# A row hash is added up in pieces: sums of 16 bits stay below 2**63 for 2**47 rows.
+_ROW_HASH = "__row_hash"
+_PIECE_BITS = 16
+_PIECES = 4
+
+
+def _with_row_hash(df: DataFrame) -> DataFrame:
+    inputs: list[Column] = []
+    for name in df.columns:
+        col = F.col(f"`{name}`")
+        inputs += [col, col.isNull()]
+    return df.withColumn(_ROW_HASH, F.xxhash64(*inputs))
+
+
+def _totals(checksum: bool) -> list[Column]:
+    totals = [F.count(F.lit(1)).alias("rows")]
+    if checksum:
+        mask = (1 << _PIECE_BITS) - 1
+        for i in range(_PIECES):
+            piece = F.shiftrightunsigned(_ROW_HASH, _PIECE_BITS * i).bitwiseAND(F.lit(mask))
+            totals.append(F.sum(piece).alias(f"piece{i}"))
+    return totals
+
+
 def _as_fingerprint(metrics: Mapping) -> Fingerprint:
-    checksum = metrics.get("checksum")
-    return Fingerprint(int(metrics["rows"]), None if checksum is None else int(checksum))
+    if "piece0" not in metrics:
+        return Fingerprint(int(metrics["rows"]))
+    pieces = [int(metrics[f"piece{i}"] or 0) for i in range(_PIECES)]
+    return Fingerprint(
+        int(metrics["rows"]), sum(p << (_PIECE_BITS * i) for i, p in enumerate(pieces))
+    )

@@ -49,9 +49,11 @@ def write_csv(
     The checksum is that of the text, so it can be compared with the file read
     back as strings.
     """
-    text = as_csv_text(df)
-    writer = lambda out: out.write.options(**dialect.writing()).mode("overwrite").csv(path)
-    return observed_write(text, writer, checksum)
+
+    def write(out: DataFrame) -> None:
+        out.write.options(**dialect.writing()).mode("overwrite").csv(path)
+
+    return observed_write(as_csv_text(df) if checksum else df, write, checksum)
 
 
 def write_parquet(df: DataFrame, path: str, checksum: bool = False) -> Fingerprint:

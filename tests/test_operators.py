@@ -6,10 +6,12 @@ from pyspark.sql import functions as F, types as T
 
 from haulage.operators import (
     CheckFailed,
+    Fingerprint,
     assert_ready,
     enforce_required,
     explode_records,
     field_of_each,
+    fingerprint,
     keep_in,
     keep_present,
     last_write_wins,
@@ -173,6 +175,14 @@ def test_fingerprint_sees_one_changed_value(spark):
     assert take_fingerprint(df) != take_fingerprint(changed)
 
 
+def test_fingerprint_as_data_equals_the_one_taken(spark):
+    for df in (spark.range(1000).withColumn("v", F.lit(None).cast("string")), spark.range(0)):
+        row = fingerprint(df).first()
+        assert take_fingerprint(df) == Fingerprint(row.rows, int(row.checksum))
+        assert take_fingerprint(df, checksum=False) == Fingerprint(row.rows)
+        assert fingerprint(df, checksum=False).columns == ["rows"]
+
+
 def test_fingerprint_sees_repeated_rows_and_moved_nulls(spark):
     schema = "a string, b string"
     once = spark.createDataFrame([("x", None), ("y", "y")], schema)
