@@ -338,6 +338,19 @@ def test_a_table_can_be_replaced_from_itself(spark, namespace):
     assert rows(read_catalog_table(spark, table)) == [(3,), (4,)]
 
 
+@pytest.mark.parametrize("made_by", ["partitioned", "orc", "managed"])
+def test_tables_made_otherwise_can_be_replaced(spark, namespace, made_by):
+    table = f"{namespace}.t"
+    df = spark.range(4).withColumn("day", F.lit("a"))
+    writer = df.write.format("orc" if made_by == "orc" else "parquet")
+    if made_by == "partitioned":
+        writer = writer.partitionBy("day")
+    writer.saveAsTable(table)
+    for rows_now in (3, 2):
+        replace_table(spark.range(rows_now).withColumn("day", F.lit("b")), table)
+        assert rows(read_catalog_table(spark, table)) == [(i, "b") for i in range(rows_now)]
+
+
 def test_previous_files_can_be_dropped(spark, namespace):
     table = f"{namespace}.t"
     replace_table(spark.range(5), table)
