@@ -10,9 +10,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from haulage import registry
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = registry.QUERIES
+SQL = registry.SQL
 
 
 @pytest.fixture
@@ -53,6 +54,7 @@ def test_same_rows_as_sql(name, spark, sf_dir, duck):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert entry_points.queries().items() >= QUERIES.items()
 
 
 def test_entry(spark, sf_dir):
