@@ -94,7 +94,7 @@ class Sampler:
                 yield np.unique(single[a:b] if b - a < 2 else paired[a : b - 1], return_counts=True)
 
     def signatures(self, texts: list[str]) -> np.ndarray:
-        return np.array([self.draws(*bag) for bag in self.bags(texts)], dtype=">u2").reshape(len(texts), self.samples)
+        return np.array([self.draws(*bag) for bag in self.bags(texts)], dtype=np.uint16).reshape(len(texts), self.samples)
 
 
 _samplers: dict[tuple[int, int], Sampler] = {}
@@ -129,7 +129,7 @@ def _rows(ids, texts, following, signatures, next_signatures, made) -> list[list
     changed = [edited(a, b) for a, b in zip(texts, following, strict=True)]
     other = made.signatures(changed)
     like = lambda a, b: (a == b).mean(axis=1).tolist()
-    text = lambda s: [x.tobytes().hex() for x in s]
+    text = lambda s: [x.tobytes().hex() for x in s.astype(">u2")]
     digest = [sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in changed]
     return [ids, [len(x) for x in texts], digest, text(signatures), text(other), like(signatures, other), like(signatures, next_signatures)]
 
