@@ -33,6 +33,7 @@ EPOCHS = 6
 STEP = 0.5
 ROUNDS = 100
 PRIOR = 0.1
+MOST_WRONG = 0.0005
 
 #: Order of the votes in a pattern.
 LABELLERS = ("capitals", "marks", "digits", "repeated_words", "repeated_lines", "word_length", "stops", "length")
@@ -109,7 +110,8 @@ class LabelModel:
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
         columns = np.arange(patterns.shape[1])
-        logs = [np.log(t[columns, patterns]).sum(axis=1) for t in (self.given_good, self.given_bad)]
+        voted = patterns < 2  # no vote says nothing
+        logs = [(np.log(t[columns, patterns]) * voted).sum(axis=1) for t in (self.given_good, self.given_bad)]
         odds = logs[0] - logs[1] + np.log(self.good / (1 - self.good))
         return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
@@ -118,8 +120,9 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
     """Accuracies of the labellers by expectation-maximisation over pattern counts.
 
     Starts from "one bad vote is enough", as each kind of junk is seen by one
-    labeller or two and a two-class model drifts to the commonest kind from a
-    softer start. So labellers vote bad on clear cases only.
+    labeller or two. Left free, two classes drift to the commonest kind against
+    the rest; so labellers vote bad on clear cases only, and at most
+    ``MOST_WRONG`` of their votes on good documents are taken to be bad.
     """
     total = counts.sum()
     weight = np.where((patterns == 0).any(axis=1), 0.0, 1.0)
@@ -129,6 +132,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
         for share in (weight, 1 - weight):
             table = np.stack([((patterns == v) * (share * counts)[:, None]).sum(axis=0) for v in range(3)], axis=1) + PRIOR
             tables.append(table / table.sum(axis=1, keepdims=True))
+        tables[0][:, 0] = np.minimum(tables[0][:, 0], MOST_WRONG)
         model = LabelModel(float(np.clip((weight * counts).sum() / max(total, 1), 0.01, 0.99)), *tables)
         weight = model.posterior(patterns)
     return model
