@@ -104,10 +104,14 @@ def with_copies(
     )
 
 
+def numbered(planned: DataFrame) -> DataFrame:
+    """Each document with ``mix_copy`` 0, for itself, and 1, 2, ... for its copies in the mix."""
+    return planned.withColumn("mix_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies"))))
+
+
 def emit(planned: DataFrame) -> DataFrame:
     """Each document as often as planned; ``mix_copy`` counts its copies from 1."""
-    some = planned.filter(F.col("mix_copies") > 0)
-    return some.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))))
+    return numbered(planned).filter("mix_copy > 0")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

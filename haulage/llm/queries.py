@@ -62,13 +62,11 @@ SELECT doc_id, size, source_size, target,
 
 @registered(MIXED)
 def op1_mixing(spark, sf_dir):
-    """Documents and the words the mix takes of each, added up over the emitted copies."""
+    """Documents and the words the mix takes of each, from the last copy emitted."""
     planned = mixing.with_copies(table(spark, sf_dir, "documents"))
-    emitted = mixing.emit(planned.select("doc_id", "mix_size", "mix_source_size", "mix_target", "mix_copies"))
-    whole = planned.filter("mix_copies = 0").select("doc_id", "mix_size", "mix_source_size", "mix_target", F.lit(0).cast("long").alias("mix_copy"), "mix_copies")
-    # copies of a document leave ``emit`` together; the last one carries its number
-    last = emitted.filter("mix_copy = mix_copies").select(whole.columns)
-    return last.unionAll(whole).select(
+    columns = planned.select("doc_id", "mix_size", "mix_source_size", "mix_target", "mix_copies")
+    # the last copy of a document carries how many there are; 0 is the document itself
+    return mixing.numbered(columns).filter("mix_copy = mix_copies").select(
         "doc_id",
         F.col("mix_size").alias("size"),
         F.col("mix_source_size").alias("source_size"),
