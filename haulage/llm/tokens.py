@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
-CACHED_PIECES = 1 << 20
+CACHED_PIECES = 600_000
 
 SEGMENT = (
     "shard int, segment int, segment_start long, n_ids long, bits int, block_offsets array<long>, "
@@ -89,6 +91,8 @@ class Encoder:
     A byte-level tokenizer never joins a space to what stands before it, so a text
     falls into pieces before each single space and pieces are encoded apart. Texts
     where a space meets other white space are cut only between visible characters.
+    ``known`` has pieces without their leading space; when it is full it becomes
+    ``older``, from which pieces still in use come back.
     """
 
     def __init__(self, path: str):
@@ -98,36 +102,55 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     _odd = re.compile(r" \s|\s ")
     _cut = re.compile(r"(?<=\S) (?=\S)")
 
-    def pieces(self, text: str) -> list[str]:
-        parts = self._cut.split(text) if self._odd.search(text) else text.split(" ")
-        return [parts[0], *(" " + x for x in parts[1:])] if len(parts) > 1 else parts
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        made = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in made]
 
     def _learn(self, new: list[str]) -> None:
-        """Encode unseen pieces; a full stop or comma after letters is a piece of its own."""
-        whole: dict[str, tuple[str, ...]] = {}
+        """Pieces not in ``known``; a full stop or comma after a letter is encoded apart."""
+        known, older = self.known, self.older
+        fresh, ended = [], []
         for piece in new:
-            stem = piece[:-1]
-            split = len(piece) > 2 and piece[-1] in ".," and stem[-1].isalpha()
-            whole[piece] = (stem, piece[-1]) if split else (piece,)
-        wanted = [x for x in dict.fromkeys(y for parts in whole.values() for y in parts) if x not in self.known]
-        for piece, made in zip(wanted, self.tokenizer.encode_batch_fast(wanted, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(made.ids, dtype="<u4").tobytes()
-        for piece, parts in whole.items():
-            self.known[piece] = b"".join(self.known[x] for x in parts)
+            if piece in older:
+                known[piece] = older[piece]
+            elif piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
+                ended.append(piece)
+                stem = piece[:-1]
+                if stem not in known:
+                    fresh.append(stem)
+            else:
+                fresh.append(piece)
+        fresh = list(dict.fromkeys(fresh))
+        for at in range(0, len(fresh), 256):
+            part = fresh[at : at + 256]
+            known.update(zip(part, self._ids([" " + x for x in part]), strict=True))
+        for piece in ended:
+            known[piece] = known[piece[:-1]] + self._stop[piece[-1]]
+
+    @cached_property
+    def _stop(self) -> dict[str, bytes]:
+        return dict(zip(".,", self._ids([".", ","]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        cut = [self.pieces(text) for text in texts]
-        unseen = {piece for parts in cut for piece in parts} - self.known.keys()
-        if len(self.known) + len(unseen) > CACHED_PIECES:
-            self.known = {}
-            unseen = {piece for parts in cut for piece in parts}
-        self._learn(list(unseen))
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+        """32-bit ids of each text, in this machine's byte order."""
+        if len(self.known) > CACHED_PIECES:
+            self.known, self.older = {}, self.known
+        cut = [(self._cut.split(x) if self._odd.search(x) else x.split(" ")) for x in texts]
+        starts = self._ids([parts[0] for parts in cut])
+        out = []
+        for start, parts in zip(starts, cut, strict=True):
+            del parts[0]
+            found = list(map(self.known.get, parts))
+            if None in found:
+                self._learn([x for x, y in zip(parts, found, strict=True) if y is None])
+                found = list(map(self.known.__getitem__, parts))
+            out.append(start + b"".join(found))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -148,13 +171,13 @@ def _segments(tokenizer: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         coder, shard = encoder(tokenizer), TaskContext.get().partitionId()
-        bits, end = bits_for(coder.vocabulary), np.array([end_id], dtype="<u4").tobytes()
+        bits, end = bits_for(coder.vocabulary), array("I", [end_id]).tobytes()
         held: list[tuple[int | None, bytes]] = []
         state = {"segment": 0, "start": 0}
 
         def flush():
             lengths = np.array([len(x) // 4 for _, x in held], dtype=np.int64)
-            ids = np.frombuffer(b"".join(x for _, x in held), dtype="<u4")
+            ids = np.frombuffer(b"".join(x for _, x in held), dtype=np.uint32)
             starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
             row = [shard, state["segment"], state["start"], len(ids), bits, block_offsets(len(ids), bits), [d for d, _ in held], starts.tolist(), pack(ids, bits)]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
@@ -198,7 +221,8 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     totals = segments.groupBy("shard").agg(F.sum("n_ids").alias("shard_ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
     offsets = totals.select("shard", F.coalesce(F.sum("shard_ids").over(before), F.lit(0)).alias("shard_start"))
-    return segments.join(offsets, "shard").withColumn("start", F.col("shard_start") + F.col("segment_start"))
+    # as many rows as the writing stage had partitions, so broadcasting them is bounded
+    return segments.join(F.broadcast(offsets), "shard").withColumn("start", F.col("shard_start") + F.col("segment_start"))
 
 
 DOC_DIGEST = "doc_id long, start long, n_tokens long, ids_crc32 long"
