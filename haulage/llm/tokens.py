@@ -111,7 +111,7 @@ class Encoder:
         made = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in made]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
         """Pieces not in ``known``; a full stop or comma after a letter is encoded apart."""
         known, older = self.known, self.older
         fresh, ended = [], []
@@ -141,15 +141,20 @@ class Encoder:
         if len(self.known) > CACHED_PIECES:
             self.known, self.older = {}, self.known
         cut = [(self._cut.split(x) if self._odd.search(x) else x.split(" ")) for x in texts]
-        starts = self._ids([parts[0] for parts in cut])
-        out = []
-        for start, parts in zip(starts, cut, strict=True):
+        out = self._ids([parts[0] for parts in cut])
+        rest, missing = [], set()
+        for parts in cut:
             del parts[0]
             found = list(map(self.known.get, parts))
-            if None in found:
-                self._learn([x for x, y in zip(parts, found, strict=True) if y is None])
-                found = list(map(self.known.__getitem__, parts))
-            out.append(start + b"".join(found))
+            gaps = [i for i, x in enumerate(found) if x is None]
+            missing.update([parts[i] for i in gaps])
+            rest.append((found, gaps))
+        self._learn(missing)
+        known = self.known
+        for n, (parts, (found, gaps)) in enumerate(zip(cut, rest, strict=True)):
+            for i in gaps:
+                found[i] = known[parts[i]]
+            out[n] += b"".join(found)
         return out
 
 
