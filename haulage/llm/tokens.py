@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
-CACHED_PIECES = 600_000
+CACHED_PIECES = 800_000
 
 SEGMENT = (
     "shard int, segment int, segment_start long, n_ids long, bits int, block_offsets array<long>, "
@@ -104,7 +104,6 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    _odd = re.compile(r" \s|\s ")
     _cut = re.compile(r"(?<=\S) (?=\S)")
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -140,14 +139,28 @@ class Encoder:
         """32-bit ids of each text, in this machine's byte order."""
         if len(self.known) > CACHED_PIECES:
             self.known, self.older = {}, self.known
-        cut = [(self._cut.split(x) if self._odd.search(x) else x.split(" ")) for x in texts]
+        cut = [x.split(" ") for x in texts]
         out = self._ids([parts[0] for parts in cut])
         rest, missing = [], set()
-        for parts in cut:
+        for n, parts in enumerate(cut):
+            last = parts[0][-1:]
             del parts[0]
             found = list(map(self.known.get, parts))
             gaps = [i for i, x in enumerate(found) if x is None]
-            missing.update([parts[i] for i in gaps])
+            new = [parts[i] for i in gaps]
+            # such pieces are never learned, so they are among the gaps
+            if parts and (last == "" or last.isspace() or any(map(_odd, new))):
+                whole = self._cut.split(texts[n])
+                out[n] = self._ids(whole[:1])[0]
+                cut[n] = parts = whole[1:]
+                found = list(map(self.known.get, parts))
+                gaps = [i for i, x in enumerate(found) if x is None]
+                new = [parts[i] for i in gaps if not _odd(parts[i])]
+                for i in gaps:
+                    if _odd(parts[i]):
+                        found[i] = self._ids([" " + parts[i]])[0]
+                gaps = [i for i in gaps if found[i] is None]
+            missing.update(new)
             rest.append((found, gaps))
         self._learn(missing)
         known = self.known
@@ -158,6 +171,10 @@ class Encoder:
         return out
 
 
+def _odd(piece: str) -> bool:
+    return piece == "" or piece[0].isspace() or piece[-1].isspace()
+
+
 _encoders: dict[str, Encoder] = {}
 
 
