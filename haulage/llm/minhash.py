@@ -12,12 +12,10 @@ emitted:
 - lists of at most ``short`` nodes give all their pairs, whose number stays
   below ``short / 2`` for each entry;
 - in a longer list every node meets the list's hub, the node with the most long
-  lists, as the original of a group of copies has; nodes left outside the hub's
-  component meet a second hub;
-- a pair still apart shares retained values in long lists only, if it is linked,
-  so at least half of both sketches lies in long lists. Such nodes of different
-  components meet when two neighbouring retained values are the same, which a
-  pair at exactly 0.75 misses with probability below 0.001. No cap applies.
+  lists, as the original of a group of copies has;
+- nodes whose values mostly lie in long lists and that are still apart are compared
+  by a filter on their full sets that leaves out no pair (``_apart``). No cap
+  applies.
 
 Each estimate filter keeps pairs 0.3 below the threshold (more than five standard
 deviations for 64 values).
@@ -169,29 +167,36 @@ def _divided(placed: DataFrame) -> DataFrame:
     return ends.filter("low < high").select("v")
 
 
-def _second_hubs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Of each list, the nodes outside the hub's component meet a hub of their own."""
-    outside = placed.join(_hubs(placed), "v").filter(F.col("component") != F.col("hub.component")).drop("hub")
-    return _spokes(outside, _hubs(outside), percent)
+def _apart(placed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair of nodes in different components that may be linked without a short list.
 
-
-def _neighbours(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Nodes of different components that share two neighbouring retained values.
-
-    Only nodes with half of their values in long lists: others that are linked
-    share a value in a short list and have met there.
+    If a linked pair shares no value of a short list, all it shares of either sketch
+    lies in long lists, so these hold at least half of both. For such nodes the
+    full sets are put in one order, rarest member first. A linked pair shares a
+    member among the first n - ceil(percent * n) + 1 of both, and from the first
+    one they share on, enough members must be left to meet the threshold. That
+    leaves no pair out; what it lets pass is near the threshold, as members of a
+    group of copies are mostly unlike in their rarest members.
     """
     common = placed.select("node", "n", "n_long", "component").distinct()
     half = common.join(nodes.select("node", "sketch"), "node").filter(2 * F.col("n_long") >= F.size("sketch"))
-    last = F.greatest(F.size("sketch") - 2, F.lit(0))
-    each = half.select("node", "n", "component", "sketch", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    value = F.xxhash64(F.get("sketch", F.col("i")), F.get("sketch", F.col("i") + 1))
-    keyed = each.select("node", "n", "component", value.alias("v"))
-    near = keyed.join(_divided(keyed), "v")
+    each = half.drop("sketch", "n_long").join(sets, "node").select("node", "n", "component", F.explode("members").alias("v"))
+    often = each.groupBy("v").agg(F.count("*").alias("often"))
+    ordered = F.sort_array(F.collect_list(F.struct("often", "v")))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    kept = F.slice("ordered", F.lit(1), first.cast("int"))
+    ranked = each.join(often, "v").groupBy("node", "n", "component").agg(ordered.alias("ordered"))
+    prefix = stored(ranked.select("node", "n", "component", F.posexplode(kept).alias("at", "m")).select("node", "n", "component", "at", "m.v"), "prefixes")
+    near = prefix.join(_divided(prefix), "v")
     x, y = near.alias("x"), near.alias("y")
-    met = x.join(y, (F.col("x.v") == F.col("y.v")) & (F.col("x.component") < F.col("y.component")))
-    pairs = met.select(*_pair(F.struct("x.node", "x.n"), F.struct("y.node", "y.n")))
-    return pairs.filter(_alike_in_size(percent)).select("a", "b").distinct()
+    left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))  # shared members at most
+    met = x.join(
+        y,
+        (F.col("x.v") == F.col("y.v"))
+        & (F.col("x.component") < F.col("y.component"))
+        & (100 * left >= percent * (F.col("x.n") + F.col("y.n") - left)),
+    )
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -234,16 +239,12 @@ def near_duplicates(
     links = stored(confirmed(candidates, sets, percent), "confirmed")
     labels = components(links)
 
-    for meet in (_second_hubs, _neighbours):
-        label = F.coalesce("component", "node").alias("component")
-        placed = long_entries.join(labels, "node", "left").select("v", "node", "n", "n_long", label)
-        if _divided(placed).isEmpty():
-            break
-        more = likely(meet(placed, nodes, percent), nodes, k, percent)
-        found = stored(confirmed(stored(more, "more"), sets, percent), "confirmed")
+    placed = long_entries.join(labels, "node", "left").select("v", "node", "n", "n_long", F.coalesce("component", "node").alias("component"))
+    if not _divided(placed).isEmpty():
+        more = stored(likely(_apart(placed, nodes, sets, percent), nodes, k, percent), "apart")
+        found = stored(confirmed(more, sets, percent), "confirmed")
         if not found.isEmpty():
-            links = links.unionAll(found)
-            labels = components(links)
+            labels = components(links.unionAll(found))
 
     own = nodes.select("n", "s1", "s2", "node").join(labels, "node", "left")
     component = own.select(F.col("n").alias("n_shingles"), "s1", "s2", F.coalesce("component", "node").alias("component"))
