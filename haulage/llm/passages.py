@@ -113,25 +113,30 @@ def _blocks(window: int, phrase: int):
             data, starts = flat(batch.column(0))
             for chunk in words_of(batch.column(0)):
                 bounds = chunk.offsets()
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], []]
                 for r in range(chunk.last - chunk.first):
                     at = chunk.first + r
                     if _key(data[starts[at] : starts[at + 1]].tobytes()) != (k1[at], k2[at]):
                         continue  # another text with the same 64-bit hash
                     words = chunk.hash[bounds[r] : bounds[r + 1]]
-                    _, _, first = phrase_places(words, window, phrase)
+                    _, hashes, first = phrase_places(words, window, phrase)
                     windows = sequence_hashes(words, window).view(np.int64)
                     ends = np.append(first[1:], len(windows))
+                    hashes = hashes.view(np.int64)
                     for i in picks[at]:
-                        for column, value in zip(out, (k1[at], k2[at], single[at], int(first[i]), windows[first[i] : ends[i]]), strict=True):
+                        if i >= len(first):
+                            continue
+                        values = (k1[at], k2[at], single[at], int(first[i]), int(hashes[i]), windows[first[i] : ends[i]])
+                        for column, value in zip(out, values, strict=True):
                             column.append(value)
-                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["k1", "k2", "single", "at", "windows"])
+                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+                names = ["k1", "k2", "single", "at", "phrase", "windows"]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names)
 
     return run
 
 
-BLOCKS = "k1 long, k2 long, single boolean, at long, windows array<long>"
+BLOCKS = "k1 long, k2 long, single boolean, at long, phrase long, windows array<long>"
 
 
 def cover(starts: list[tuple[int, int]], window: int) -> list[int]:
@@ -200,19 +205,26 @@ def _remove(window: int):
 def recurring_runs(docs: DataFrame, texts: DataFrame, window: int, phrase: int) -> DataFrame:
     """k1, k2, runs of recurring windows: for texts that stand in one row only."""
     key = ["k1", "k2"]
-    many = (F.col("copies") > 1).cast("long") + 1
-    phrases = texts.select(*key, "copies", F.posexplode("phrases").alias("i", "phrase"))
-    counted = phrases.groupBy("phrase").agg(F.sum(many).alias("places"))
+    # one 64-bit key is enough here: a document with a foreign place only has more to compare
+    copied = (F.col("copies") > 1).cast("int")
+    phrases = texts.select("k1", copied.alias("copied"), F.posexplode("phrases").alias("i", "phrase"))
+    phrases = phrases.select("k1", "phrase", (F.col("i") * 2 + F.col("copied")).alias("tag"))
+    counted = phrases.groupBy("phrase").agg(F.sum(F.col("tag") % 2 + 1).alias("places"))
     # a phrase that only copies of one text hold says nothing about other texts
-    known = phrases.join(counted.filter("places > 1"), "phrase").filter((F.col("copies") == 1) | (F.col("places") > 2))
-    picks = known.groupBy(*key).agg(F.sort_array(F.collect_list("i")).alias("picks"))
-    picks = picks.join(texts.select(*key, "doc_id", "text_hash", (F.col("copies") == 1).alias("single")), key)
+    known = phrases.join(counted.filter("places > 1"), "phrase").filter((F.col("tag") % 2 == 0) | (F.col("places") > 2))
+    picks = known.groupBy("k1").agg(F.sort_array(F.collect_set((F.col("tag") / 2).cast("int"))).alias("picks"))
+    picks = picks.join(texts.select(*key, "doc_id", "text_hash", (F.col("copies") == 1).alias("single")), "k1")
     read = stored(_texts_of(docs, picks, "single", "picks").mapInArrow(_blocks(window, phrase), BLOCKS), "blocks")
 
     weight = F.when(F.col("single"), 1).otherwise(2)
     blocks = read.withColumn("block", F.xxhash64("windows"))
-    whole = stored(blocks.groupBy("block").agg(F.sum(weight).alias("times"), F.first("windows").alias("windows")), "whole-blocks")
-    each = whole.select("block", "times", F.posexplode("windows").alias("offset", "w"))
+    whole = stored(
+        blocks.groupBy("block").agg(F.sum(weight).alias("times"), F.min("phrase").alias("phrase"), F.first("windows").alias("windows")),
+        "whole-blocks",
+    )
+    # equal windows have the same phrase, so a phrase with one block needs no comparison
+    varied = whole.groupBy("phrase").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("phrase")
+    each = whole.join(varied, "phrase", "left_semi").select("block", "times", F.posexplode("windows").alias("offset", "w"))
     shared = each.groupBy("w").agg(F.sum("times").alias("times"), F.min("times").alias("least")).filter("times > 1 AND least = 1")
     alone = each.filter("times = 1").join(shared.select("w"), "w").groupBy("block").agg(F.collect_list("offset").alias("offsets"))
     run = F.struct(F.col("at").alias("at"), F.size("windows").cast("long").alias("n"))
