@@ -167,20 +167,19 @@ def _divided(placed: DataFrame) -> DataFrame:
     return ends.filter("low < high").select("v")
 
 
-def _apart(placed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _apart(half: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Every pair of nodes in different components that may be linked without a short list.
 
     If a linked pair shares no value of a short list, all it shares of either sketch
-    lies in long lists, so these hold at least half of both. For such nodes the
-    full sets are put in one order, rarest member first. A linked pair shares a
+    lies in long lists, so these hold at least half of both. For such nodes (``half``)
+    the full sets are put in one order, rarest member first. A linked pair shares a
     member among the first n - ceil(percent * n) + 1 of both, and from the first
     one they share on, enough members must be left to meet the threshold. That
     leaves no pair out; what it lets pass is near the threshold, as members of a
     group of copies are mostly unlike in their rarest members.
     """
-    common = placed.select("node", "n", "n_long", "component").distinct()
-    half = common.join(nodes.select("node", "sketch"), "node").filter(2 * F.col("n_long") >= F.size("sketch"))
-    each = half.drop("sketch", "n_long").join(sets, "node").select("node", "n", "component", F.explode("members").alias("v"))
+    placed = half.join(labels, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
+    each = placed.join(sets, "node").select("node", "n", "component", F.explode("members").alias("v"))
     often = each.groupBy("v").agg(F.count("*").alias("often"))
     ordered = F.sort_array(F.collect_list(F.struct("often", "v")))
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
@@ -230,7 +229,9 @@ def near_duplicates(
     spokes = _spokes(long_entries, _hubs(long_entries), percent)
     candidates = stored(likely(two.unionAll(few).unionAll(spokes).distinct(), nodes, k, percent), "candidates")
 
-    wanted = candidates.select(F.col("a").alias("node")).unionAll(candidates.select("b")).unionAll(long_entries.select("node"))
+    mostly_long = nodes.join(n_long, "node").filter(2 * F.col("n_long") >= F.size("sketch"))
+    half = stored(mostly_long.select("node", "n"), "mostly-long")
+    wanted = candidates.select(F.col("a").alias("node")).unionAll(candidates.select("b")).unionAll(half.select("node"))
     text = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
     sets = stored(
         text.join(wanted.distinct(), "node", "left_semi").mapInArrow(_full_sets(shingle), "node long, members array<long>"),
@@ -239,9 +240,8 @@ def near_duplicates(
     links = stored(confirmed(candidates, sets, percent), "confirmed")
     labels = components(links)
 
-    placed = long_entries.join(labels, "node", "left").select("v", "node", "n", "n_long", F.coalesce("component", "node").alias("component"))
-    if not _divided(placed).isEmpty():
-        more = stored(likely(_apart(placed, nodes, sets, percent), nodes, k, percent), "apart")
+    if not half.isEmpty():
+        more = stored(likely(_apart(half, labels, sets, percent), nodes, k, percent), "apart")
         found = stored(confirmed(more, sets, percent), "confirmed")
         if not found.isEmpty():
             labels = components(links.unionAll(found))
