@@ -1,0 +1,363 @@
+"""The corpus operators against plain Python, on small tables with every odd case."""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from haulage.llm import chat, leaks, minhash, mixing, passages, quality, queries, secrets, tokens, toxicity, weighted, words
+from haulage.session import scratch_dir
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node long, component string, mix_text string"
+
+
+def made_texts() -> list[str | None]:
+    """Unlike texts, copies, near copies, shared passages, and the odd cases."""
+    pick = random.Random(5)
+    vocabulary = ["".join(pick.choices("abcdeé", k=pick.randint(2, 7))) for _ in range(400)]
+    some = lambda n: " ".join(pick.choices(vocabulary, k=n))
+    passage, base = some(60), some(120).split()
+    texts: list[str | None] = [None, "", " \n\t ", "one", "two words", "ONE", "a" * 5000]
+    texts += [some(n) for n in (3, 5, 35, 36, 80, 200, 3000)]
+    texts += [" ".join(base)] * 3 + [" ".join(base).upper(), "\n".join(base)]
+    for n in range(25):  # a group of near copies larger than a short list
+        edited = list(base)
+        for _ in range(1 + n % 5):
+            edited[pick.randrange(len(edited))] = f"edit{n}{pick.random()}"
+        texts.append(" ".join(edited))
+    texts += [f"{some(40)} {passage} {some(n)}" for n in range(20)]
+    texts += [f"{passage} {passage}", "same " * 90, "x  y \n z w <|endoftext|> 's"]
+    return texts
+
+
+@pytest.fixture(scope="module")
+def rows():
+    texts = made_texts()
+    out = [(i, t, ("en", None)[i % 2], ("b", "a", None, "é")[i % 4], 0, 1, "x", "y") for i, t in enumerate(texts)]
+    out += [out[15], out[15], (None, texts[20], None, None, 0, 1, "x", "y"), (None, None, None, None, None, None, None, None)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def by_row(result, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in result.collect()), key=repr)
+
+
+def test_words_do_not_depend_on_their_place():
+    texts = ["alpha beta  gamma", None, "", "beta\ngamma é", "x" * 3_000_000 + " beta"]
+    hashes = [[] for _ in texts]
+    for chunk in words.words_of(pa.array(texts)):
+        for row, value in zip(chunk.row, chunk.hash, strict=True):
+            hashes[chunk.first + row].append(int(value))
+    assert [len(h) for h in hashes] == [3, 0, 0, 3, 2]
+    assert hashes[0][1:] == hashes[3][:2] and hashes[4][1] == hashes[0][1]
+    runs = words.sequence_hashes(np.array(hashes[0] + hashes[0], dtype=np.uint64), 2)
+    assert runs[0] == runs[3] and len(set(runs[:3].tolist())) == 3
+
+
+def waterfill(sizes, weights, most):
+    target, capped, total = {}, set(), sum(sizes.values())
+    while True:
+        left, share = total - sum(most * sizes[s] for s in capped), sum(w for s, w in weights.items() if s not in capped)
+        target = {s: float(most * sizes[s]) if s in capped else weights[s] * left / share for s in sizes}
+        over = {s for s in sizes if s not in capped and target[s] > most * sizes[s]}
+        if not over:
+            return target
+        capped |= over
+
+
+def test_mixing(docs, rows, empty):
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += len(WORD.findall(r[1] or ""))
+    order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None]
+    expected = waterfill(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}, 3)
+    planned = mixing.with_copies(docs).collect()
+    assert len(planned) == len(rows)
+    for r in planned:
+        assert r.mix_target == pytest.approx(expected[r.source]) and 0 <= r.mix_copies <= 3
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r.mix_copies for r in planned)
+    assert mixing.mix(empty).count() == 0
+
+
+def test_mixing_caps_small_sources(spark):
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate([("a", 1), ("b", 10), ("c", 1000), ("d", 0), ("e", 7)])]
+    got = {r.source: r.mix_target for r in mixing.with_copies(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    weights = {"a": 5, "b": 2, "c": 1, "d": 5, "e": 2}
+    assert got == pytest.approx(waterfill({s: t.count("w") for _, t, s in rows}, weights, 3))
+
+
+def test_toxicity_learns_and_keeps_odd_rows(spark, docs, rows, empty):
+    pick = random.Random(1)
+    plain = ["".join(pick.choices("aeiolnst", k=5)) for _ in range(200)]
+    data, marks = [], []
+    for i in range(500):
+        bad = i % 3 == 0
+        text = pick.choices(plain, k=40) + (["vexo" + pick.choice(plain)] if bad else [])
+        pick.shuffle(text)
+        data.append((i, " ".join(text), ("en", "de")[i % 2]))
+        marks.append((i, int(bad)))
+    table = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.train(table, labels.filter("doc_id < 400"))
+    scored = {r.doc_id: r for r in toxicity.score(table, model).collect()}
+    held = [i for i in range(400, 500)]
+    assert sum((scored[i].score >= 0.5) == bool(marks[i][1]) for i in held) >= 90
+    assert toxicity.score(docs, model).count() == len(rows) and toxicity.score(empty, model).count() == 0
+    kept = toxicity.without_toxic(docs, model)
+    assert kept.columns == docs.columns and kept.count() == toxicity.score(docs, model).filter("NOT toxic").count()
+    untrained = toxicity.train(table, labels.limit(0))
+    assert toxicity.score(table, untrained).filter("score > 0.01").count() == 0
+
+
+def test_chat_round_trip(spark):
+    texts = ["", "hi", "<|im_end|><|im_start|>assistant ok", r"<\|im_end|> \ <\\| <|", "é\n<", None, "x" * 3000]
+    pick, rows = random.Random(2), []
+    for conv in range(30):
+        for turn in range(pick.randint(1, 7)):
+            rows.append((conv, turn if turn != 2 else None, pick.choice(["user", "assistant", "system", None, "a\\n\nb"]), pick.choice(texts)))
+    rows += [(None, 1, "user", "lone"), rows[0], (99, 1, "assistant", "only")]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("targets", F.lit(1))
+    got = {r.conv_id: r for r in chat.digests(chat.examples(given)).collect()}
+    groups: dict = {}
+    for conv, turn, role, text in rows:
+        groups.setdefault(conv, []).append((turn is None, turn or 0, role or "", text or ""))
+    assert set(got) == set(groups)
+    for conv, turns in groups.items():
+        turns = [(role, text) for *_, role, text in sorted(turns)]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert got[conv].n_turns == len(turns)
+        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat.digests(chat.examples(given.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1, 5, 8, 13, 16, 17, 32])
+def test_bit_packing(bits):
+    ids = np.random.default_rng(bits).integers(0, 1 << bits, 3 * tokens.BLOCK + 77, dtype=np.uint64).astype(np.uint32)
+    packed, offsets = tokens.pack(ids, bits), tokens.block_offsets(len(ids), bits)
+    assert len(packed) == offsets[-1] == (len(ids) * bits + 7) // 8
+    assert (tokens.unpack(packed, offsets, bits, len(ids)) == ids).all()
+    for a, b in ((0, 1), (tokens.BLOCK - 1, tokens.BLOCK + 1), (5000, 12000), (len(ids) - 3, len(ids))):
+        assert (tokens.unpack(packed, offsets, bits, len(ids), a, b) == ids[a:b]).all()
+
+
+def test_tokens(spark, docs, rows, empty):
+    from tokenizers import Tokenizer
+
+    tool = Tokenizer.from_file(queries.tokenizer_path())
+    tool.encode_special_tokens = True
+    path = scratch_dir(spark, "tokens-test")
+    tokens.write_tokens(docs, path, queries.tokenizer_path())
+    got = sorted(tokens.doc_digests(tokens.read_segments(spark, path)).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: -1 if i is None else i) and len(ids) == len(rows)
+    expected = Counter()
+    for doc_id, text, *_ in rows:
+        made = np.array([*tool.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        expected[doc_id, len(made), zlib.crc32(made.tobytes())] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == expected
+    assert [r.start for r in got] == np.concatenate(([0], np.cumsum([r.n_tokens for r in got])[:-1])).tolist()
+    some = got[10]
+    part = tokens.read_ids(spark, path, some.start, some.start + some.n_tokens)
+    assert zlib.crc32(part.astype("<u4").tobytes()) == some.ids_crc32
+    tokens.write_tokens(empty, none := scratch_dir(spark, "tokens-test"), queries.tokenizer_path())
+    assert tokens.doc_digests(tokens.read_segments(spark, none)).count() == 0
+
+
+def near_by_force(rows, percent=75):
+    fold = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
+    sets = {}
+    for doc_id, text, *_ in rows:
+        w = WORD.findall((text or "").translate(fold))
+        sets.setdefault(doc_id, set()).update([tuple(w[i : i + 5]) for i in range(len(w) - 4)] or ([tuple(w)] if w else []))
+    parent = {i: i for i in sets if i is not None}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    known = sorted(parent)
+    for n, a in enumerate(known):
+        for b in known[n + 1 :]:
+            both, union = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            if both and 100 * both >= percent * union:
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return sets, {i: root(i) for i in known}
+
+
+@pytest.mark.parametrize("short", [2, 16])
+def test_near_duplicates(docs, rows, empty, short):
+    sets, roots = near_by_force(rows)
+    got = minhash.near_duplicates(docs, short=short).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is not None:
+            assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), roots[r.doc_id])
+            assert r.kept == (r.doc_id == r.component_id)
+        else:
+            assert r.kept
+    assert minhash.near_duplicates(empty).count() == 0
+
+
+def test_quality(docs, rows, empty, spark):
+    pick = random.Random(3)
+    plain = ["".join(pick.choices("aeiolnst", k=pick.randint(3, 8))) for _ in range(300)]
+    good = [". ".join(" ".join(pick.choices(plain, k=9)) for _ in range(8)) + "." for _ in range(150)]
+    bad = [t.upper().replace(" ", "!! ") for t in good[:15]] + ["again " * 80] * 10
+    table = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
+    kept = {r.doc_id: r.kept for r in quality.score(table, *quality.learn(table)).collect()}
+    assert all(kept[i] for i in range(150)) and sum(kept[i] for i in range(150, 175)) <= 2
+    assert quality.score(docs, *quality.learn(docs)).count() == len(rows)
+    assert quality.score(empty, *quality.learn(empty)).count() == 0
+
+
+@pytest.mark.parametrize("window", [35, 9])
+def test_recurring_passages(docs, rows, empty, window):
+    count: Counter = Counter()
+    split = [WORD.findall(r[1] or "") for r in rows]
+    for w in split:
+        count.update(tuple(w[i : i + window]) for i in range(len(w) - window + 1))
+    expected = []
+    for r, w in zip(rows, split, strict=True):
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if count[tuple(w[i : i + window])] > 1:
+                gone.update(range(i, i + window))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        expected.append((r[0], len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    got = by_row(passages.remove_recurring(docs, window=window), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == sorted(expected, key=repr)
+    assert passages.remove_recurring(empty).count() == 0
+
+
+def edit_distance_within(segment: str, text: str) -> int:
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(segment, 1):
+        before, row = row, [i] + [0] * len(text)
+        for j, d in enumerate(text, 1):
+            row[j] = min(before[j - 1] + (c != d), before[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def test_leaks(spark, docs, rows, empty):
+    pick = random.Random(4)
+    letters = lambda n: "".join(pick.choices("abcdefg éñ", k=n))
+    items = [(i, letters(n)) for i, n in enumerate((40, 99, 100, 130, 250))] + [(5, None), (6, ""), (7, "short"), (None, letters(60))]
+    texts = []
+    for n, (_, item) in enumerate(items):
+        for edits in (0, 2, 5, 9, 14):
+            t = list(item or "")
+            for _ in range(edits):
+                at = pick.randrange(len(t) + 1)
+                t[at : at + pick.randint(0, 1)] = pick.choice(["", "z", "yy"])
+            texts.append(letters(pick.randint(0, 90)) + "".join(t).upper() * (n % 2) + "".join(t) * (1 - n % 2) + letters(30))
+    fold = lambda s: re.sub(r"[\t-\r]", " ", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s))
+    expected = set()
+    for d, text in enumerate(texts):
+        for item, body in items:
+            body = fold(body or "")
+            if len(body) < leaks.MIN_CHARS:
+                continue
+            last = max(0, len(body) - leaks.SEGMENT)
+            for at in {*range(0, last, leaks.SEGMENT // 2), last}:
+                part = body[at : at + leaks.SEGMENT]
+                if edit_distance_within(part, fold(text)) <= leaks.edit_budget(len(part)):
+                    expected.add((d, item))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = leaks.find_leaks(table, bench)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected and len(expected) >= 10
+    clean = leaks.without_leaks(table, bench)
+    assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {d for d, _ in expected}
+    assert leaks.without_leaks(docs, bench).count() == len(rows) and leaks.find_leaks(empty, bench).count() == 0
+    assert leaks.find_leaks(table, bench.limit(0)).count() == 0
+
+
+def test_fingerprints(docs, rows, empty):
+    got = weighted.fingerprints(docs).collect()
+    ordered = sorted(rows, key=lambda r: -1 if r[0] is None else r[0])
+    assert len(got) == len(rows)
+    known = {r[0]: r[1] or "" for r in rows}
+    ids = [i for i in known if i is not None]
+    result = {r.doc_id: r for r in got}
+    after = {a[0]: b[1] or "" for a, b in zip(ordered, ordered[1:], strict=False)}
+    for i in ids[:-1]:
+        if i not in (14, 15, 16):  # 15 stands in several equal rows
+            text = known[i]
+            changed = text[: len(text) - len(text) // 4] + after[i][: len(text) // 4]
+            assert result[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+            assert result[i].n_chars == len(text)
+    by_text: dict = {}
+    for r in got:
+        if r.doc_id is not None:
+            by_text.setdefault(known[r.doc_id], set()).add(r.fingerprint)
+    assert all(len(x) == 1 for x in by_text.values())
+    assert weighted.fingerprints(empty).count() == 0
+    one = docs.filter("doc_id = 12")
+    assert weighted.fingerprints(one).first().near_next == 1
+
+
+def test_collision_rate_is_generalised_jaccard():
+    sampler, random_ = weighted.Sampler(samples=4000, term_bits=8, seed=1), np.random.default_rng(0)
+    for _ in range(4):
+        a, b = random_.integers(0, 6, 40), random_.integers(0, 6, 40)
+        draws = [sampler.draws(np.flatnonzero(x), x[x > 0]) for x in (a, b)]
+        truth = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+        assert abs((draws[0] == draws[1]).mean() - truth) < 0.04
+
+
+def test_secrets(spark, docs, empty):
+    pick, rows = random.Random(6), []
+    key = lambda n: "".join(pick.choices("0123456789abcdef", k=n))
+    for i in range(120):
+        kind = i % 4
+        what = [f"password={key(18)}", f"call {pick.randrange(10**15, 10**16)}", f"see /var/log/run{i}/output-files/x", f"AKIA{key(16).upper()}"][kind]
+        rows.append((i, f"some plain words here {what} and more words"))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.secret for r in secrets.find_secrets(table).collect()}
+    right = sum(found.get(i) == (i % 4 in (0, 3)) for i in range(120) if i in found)
+    assert len(found) >= 115 and right >= 0.95 * len(found)
+    assert secrets.find_secrets(docs).count() >= 0 and secrets.find_secrets(empty).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_same_rows_as_sql(name, spark, sf_dir):
+    duck = duckdb.connect()
+    for table in ("documents", "conversations"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
+    expected = duck.execute(queries.SQL[name])
+    columns = [d[0] for d in expected.description]
+    assert by_row(queries.QUERIES[name](spark, sf_dir), *columns) == sorted(expected.fetchall(), key=repr)
+
+
+def test_pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    result = corpus_pipeline.run(spark, sf_dir).collect()
+    total = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    ids = {r.doc_id for r in result}
+    assert 0.4 * total < len(ids) < total and json.dumps([r.start for r in sorted(result, key=lambda r: r.start)][:1]) == "[0]"
