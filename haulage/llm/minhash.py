@@ -233,8 +233,9 @@ def near_duplicates(
     half = stored(mostly_long.select("node", "n"), "mostly-long")
     wanted = candidates.select(F.col("a").alias("node")).unionAll(candidates.select("b")).unionAll(half.select("node"))
     text = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
+    # hashed by id, so texts are not sorted
     sets = stored(
-        text.join(wanted.distinct(), "node", "left_semi").mapInArrow(_full_sets(shingle), "node long, members array<long>"),
+        text.join(wanted.distinct().hint("shuffle_hash"), "node", "left_semi").mapInArrow(_full_sets(shingle), "node long, members array<long>"),
         "sets",
     )
     links = stored(confirmed(candidates, sets, percent), "confirmed")
