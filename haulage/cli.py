@@ -11,6 +11,8 @@ Any failure ends the program with exit code 1; the session is always stopped.
 
 from __future__ import annotations
 
+import os
+import re
 import argparse
 import sys
 from collections.abc import Sequence
@@ -116,6 +118,18 @@ def run_launches(spark, args):
     return launches.run(spark, args.documents, args.output)
 
 
+def without_secrets(text: str) -> str:
+    """``text`` without database URLs, passwords and store keys from the environment."""
+    for side in ("SOURCE", "TARGET"):
+        for name in (f"{side}_JDBC_URL", f"{side}_PASSWORD"):
+            if os.environ.get(name):
+                text = text.replace(os.environ[name], "***")
+    for name in ("S3_ACCESS_KEY", "S3_SECRET_KEY"):
+        if os.environ.get(name):
+            text = text.replace(os.environ[name], "***")
+    return re.sub(r"(?i)(password|user)=[^;&\s]*", r"\1=***", text)
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     args = parser().parse_args(argv)
     settings = {**object_store_settings(), **dict(pair.split("=", 1) for pair in args.conf)}
@@ -124,7 +138,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         print(args.run(spark, args))
         return 0
     except Exception as failure:
-        print(f"{args.command} failed: {failure}", file=sys.stderr)
+        print(f"{args.command} failed: {without_secrets(str(failure))}", file=sys.stderr)
         return 1
     finally:
         spark.stop()

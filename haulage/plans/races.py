@@ -64,7 +64,7 @@ RECORD = struct_of(
     retired=_TEXT,
 )
 
-# Output name -> place in the document.
+# The output contract. Output name -> place in the document.
 RACE_FIELDS = {
     "race_id": "races.raceId",
     "race_name": "races.raceName",

@@ -279,20 +279,20 @@ def csv_glob_scan(spark, sf_dir):
     return read_csv_folder(spark, path)
 
 
-@registered("SELECT event_id, event_type, props, value FROM events")
+@registered("SELECT * FROM events")
 def csv_lossless_scan(spark, sf_dir):
-    # props is JSON: quotes inside values.
+    # props is JSON: quotes inside values. ts has microseconds.
     path = scratch_dir(spark, "csv")
-    events = open_table(spark, sf_dir, "events").select("event_id", "event_type", "props", "value")
+    events = open_table(spark, sf_dir, "events")
     write_csv(events, path, LOSSLESS)
     return read_csv(spark, path, events.schema, dialect=LOSSLESS)
 
 
-@registered("SELECT doc_id, text, lang, source FROM documents")
+@registered("SELECT * FROM documents")
 def csv_lossless_text(spark, sf_dir):
     # Whole texts: line breaks, separators and quotes inside values.
     path = scratch_dir(spark, "csv")
-    texts = open_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    texts = open_table(spark, sf_dir, "documents")
     write_csv(texts, path, LOSSLESS)
     return read_csv(spark, path, texts.schema, dialect=LOSSLESS)
 

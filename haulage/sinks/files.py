@@ -11,7 +11,7 @@ from haulage import storage
 from haulage.functions.dates import as_date_text
 from haulage.operators.checks import Fingerprint, observed_metrics, observed_write
 from haulage.session import session_setting
-from haulage.sources.files import CsvDialect, PLAIN
+from haulage.sources.files import CsvDialect, MICROSECONDS, PLAIN
 
 # Partition values one task writes side by side before Spark sorts the rest.
 OPEN_FILES_PER_TASK = 16
@@ -86,7 +86,7 @@ def replace_load_dates(
     def write(out: DataFrame) -> None:
         (
             out.write.mode("overwrite")
-            .options(partitionOverwriteMode="dynamic", ignoreNullFields="false")
+            .options(partitionOverwriteMode="dynamic", ignoreNullFields="false", **MICROSECONDS)
             .partitionBy(date_column)
             .json(path)
         )
@@ -113,9 +113,9 @@ def drop_load_date(
 def _csv_text(field: T.StructField) -> Column:
     col = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.TimestampType):
-        col = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+        col = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     elif isinstance(field.dataType, T.TimestampNTZType):
-        col = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSS")
+        col = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     else:
         col = col.cast("string")
     return col.alias(field.name)

@@ -27,9 +27,15 @@ class CsvDialect:
         return CsvDialect(separator, self.shared, self.write_only, self.read_only)
 
 
+#: How times are written: with microseconds, which is all that Spark holds.
+MICROSECONDS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 #: Spark's own CSV rules. Empty text comes back null, outer spaces are trimmed
 #: and a line break inside a value splits the row. Files can be split by size.
-PLAIN = CsvDialect()
+PLAIN = CsvDialect(write_only=MICROSECONDS)
 
 #: Gives every value back as written. A file is then read by one task, so the
 #: writer bounds the rows per file instead.
@@ -39,6 +45,7 @@ LOSSLESS = CsvDialect(
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
         "maxRecordsPerFile": "1000000",
+        **MICROSECONDS,
     },
     read_only={"multiLine": "true"},
 )
@@ -57,8 +64,13 @@ def read_csv(
     All columns are strings unless ``infer`` is set, which reads the data one
     extra time, or ``schema`` is given, which does not. Prefer a schema for
     large inputs.
+
+    Reads are strict: a value of another type, a row with more or fewer values
+    and a header ordered or named differently fail the job. Pass
+    ``mode="PERMISSIVE"`` or ``enforceSchema="true"`` for Spark's defaults.
     """
-    reader = spark.read.options(**{**dialect.reading(), **options})
+    strict = {"mode": "FAILFAST", "enforceSchema": "false"}
+    reader = spark.read.options(**{**strict, **dialect.reading(), **options})
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
@@ -84,7 +96,6 @@ def read_csv_folder(
         schema=schema,
         infer=schema is None,
         dialect=dialect,
-        enforceSchema="false",
     )
 
 

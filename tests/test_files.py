@@ -19,6 +19,7 @@ from haulage.sinks import (
     write_csv,
     write_parquet,
 )
+from haulage.sources.files import MICROSECONDS
 from haulage.sources import (
     LOSSLESS,
     PLAIN,
@@ -103,7 +104,7 @@ def test_csv_text_equals_the_writer_s_own(spark):
         " timestamp'2026-03-07 01:02:03.456' at, timestamp_ntz'2026-03-07 01:02:03.456' nt"
     )
     own, ours = scratch_dir(spark, "csv"), scratch_dir(spark, "csv")
-    df.write.option("header", True).csv(own)
+    df.write.options(header=True, **MICROSECONDS).csv(own)
     write_csv(df, ours)
     assert rows(spark.read.text(ours)) == rows(spark.read.text(own))
     assert as_csv_text(df).columns == df.columns
@@ -268,3 +269,34 @@ def test_storage(spark):
 def test_fingerprint_of_csv_text(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     assert take_fingerprint(as_csv_text(df)) == take_fingerprint(df.select(F.col("k").cast("string"), "v"))
+
+
+def test_csv_reads_are_strict(spark, tmp_path):
+    def put_csv(name, text):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_text(text)
+        return str(tmp_path / name)
+
+    bad_number = put_csv("number", "n,t\n1,a\nabc,b\n")
+    extra = put_csv("extra", "n,t\n1,a,surplus\n")
+    swapped = put_csv("swapped", "t,n\na,1\n")
+    for path in (bad_number, extra, swapped):
+        with pytest.raises(Exception):
+            read_csv(spark, path, "n int, t string").collect()
+    assert read_csv(spark, bad_number, "n int, t string", mode="PERMISSIVE").count() == 2
+
+
+def test_times_keep_microseconds(spark, tmp_path):
+    import datetime as when
+
+    from haulage.sinks import replace_load_dates
+    from haulage.sources import LOSSLESS
+
+    moment = when.datetime(2026, 3, 6, 1, 2, 3, 123456)
+    df = spark.createDataFrame([(moment, moment, "20260306")], "a timestamp, b timestamp_ntz, load_date string")
+    for checksum in (False, True):
+        path = str(tmp_path / f"csv{checksum}")
+        write_csv(df, path, LOSSLESS, checksum=checksum)
+        assert read_csv(spark, path, df.schema, dialect=LOSSLESS).first() == df.first()
+    replace_load_dates(df, str(tmp_path / "json"))
+    assert spark.read.schema(df.schema).json(str(tmp_path / "json")).first()[:2] == (moment, moment)
