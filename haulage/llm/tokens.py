@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
-CACHED_PIECES = 800_000
+CACHED_PIECES = 300_000
 
 SEGMENT = (
     "shard int, segment int, segment_start long, n_ids long, bits int, block_offsets array<long>, "
