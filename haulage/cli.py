@@ -20,6 +20,9 @@ from collections.abc import Sequence
 from haulage.plans import customer, launches, parquet_copy, races, replicate, staging
 from haulage.session import build_session, object_store_settings
 from haulage.sources import Endpoint, LOSSLESS, PLAIN
+from haulage.sources.files import STANDARD
+
+DIALECTS = {"lossless": LOSSLESS, "plain": PLAIN, "standard": STANDARD}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -37,7 +40,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--run-date", required=True)
     sub.add_argument("--source-table", default=f"dbo.{customer.SOURCE_TABLE}")
     sub.add_argument("--staging-table", default=customer.STAGING_TABLE)
-    sub.add_argument("--csv", choices=("lossless", "plain"), default="lossless")
+    sub.add_argument("--csv", choices=DIALECTS, default="lossless")
 
     sub = command("replicate", run_replicate, "copy tables between databases")
     sub.add_argument("tables", nargs="+")
@@ -49,12 +52,15 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("csv")
     sub.add_argument("parquet")
     sub.add_argument("--schema", help="column types, e.g. 'day date, n int'; default: inferred")
+    sub.add_argument("--csv-dialect", choices=DIALECTS, default="plain")
 
     sub = command("stage-csv", run_staging, "replace a catalog table by a folder of CSV files")
     sub.add_argument("folder")
     sub.add_argument("table", help="catalog.namespace.table")
     sub.add_argument("--schema", help="column types; default: inferred")
     sub.add_argument("--no-properties", action="store_true")
+    sub.add_argument("--csv-dialect", choices=DIALECTS, default="plain")
+    sub.add_argument("--keep-previous-files", action="store_true")
 
     sub = command("race-results", run_races, "flatten race documents into their load date")
     sub.add_argument("documents")
@@ -68,7 +74,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run_customer(spark, args):
-    dialect = {"lossless": LOSSLESS, "plain": PLAIN}[args.csv].with_separator(";")
+    dialect = DIALECTS[args.csv].with_separator(";")
     return customer.run(
         spark,
         Endpoint.from_env("SOURCE"),
@@ -100,13 +106,22 @@ def run_replicate(spark, args):
 
 
 def run_parquet_copy(spark, args):
-    copy = parquet_copy.run(spark, args.csv, args.parquet, args.schema)
+    dialect = DIALECTS[args.csv_dialect]
+    copy = parquet_copy.run(spark, args.csv, args.parquet, args.schema, dialect)
     return f"{args.parquet}: {copy.schema.simpleString()}"
 
 
 def run_staging(spark, args):
     properties = None if args.no_properties else staging.FILE_FORMAT
-    table = staging.run(spark, args.folder, args.table, args.schema, properties)
+    table = staging.run(
+        spark,
+        args.folder,
+        args.table,
+        args.schema,
+        properties,
+        dialect=DIALECTS[args.csv_dialect],
+        keep_previous_files=args.keep_previous_files,
+    )
     return f"{args.table}: {table.schema.simpleString()}"
 
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from haulage import storage
 from haulage.functions import has_scheme, require, target_name
 from haulage.operators import (
     assert_ready,
@@ -26,7 +27,7 @@ from haulage.sources import read_json_documents
 DOCUMENT = struct_of(results=T.ArrayType(struct_of(image=T.VariantType())))
 
 LISTING = struct_of(
-    document=T.StringType(),
+    document=struct_of(path=T.StringType(), block=T.LongType(), row=T.LongType()),
     pos=T.IntegerType(),
     url=T.StringType(),
     name=T.StringType(),
@@ -91,19 +92,25 @@ def run(
     """Write the listing of all URLs and the manifest below ``output_path``.
 
     The documents are parsed once, into ``listing``, split by ``valid``; the
-    manifest is taken from its valid part. Documents are ordered by their path.
+    manifest is taken from its valid part. Documents are ordered by their path and,
+    in JSON Lines, by their place in the file. Listing and manifest of an earlier
+    run are replaced together, and stay if this run fails.
     """
-    documents = assert_ready(
-        read_json_documents(spark, documents_path, DOCUMENT, multi_line)
-    ).withColumn("path", F.col("_metadata.file_path"))
-    listing = f"{output_path.rstrip('/')}/listing"
-    valid = F.col("valid")
-    with open_writers(spark):
-        counts = observed_metrics(
-            list_images(documents, "path"),
-            lambda out: out.write.mode("overwrite").partitionBy("valid").parquet(listing),
-            [F.count_if(valid).alias("valid"), F.count_if(~valid).alias("invalid")],
-        )
-    images = spark.read.schema(LISTING).parquet(listing)
-    files = write_parquet(manifest(images), f"{output_path.rstrip('/')}/manifest")
+    documents = assert_ready(read_json_documents(spark, documents_path, DOCUMENT, multi_line))
+    # One task reads a block from its start, so row numbers grow along the block.
+    place = F.struct(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    base, valid = output_path.rstrip("/"), F.col("valid")
+    with storage.replacing(spark, f"{base}/listing", f"{base}/manifest") as (listing, chosen):
+        with open_writers(spark):
+            counts = observed_metrics(
+                list_images(documents.withColumn("document", place), "document"),
+                lambda out: out.write.partitionBy("valid").parquet(listing),
+                [F.count_if(valid).alias("valid"), F.count_if(~valid).alias("invalid")],
+            )
+        images = spark.read.schema(LISTING).parquet(listing)
+        files = write_parquet(manifest(images), chosen)
     return ManifestRun(files.rows, counts["valid"], counts["invalid"])

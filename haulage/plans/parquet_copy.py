@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from haulage import storage
 from haulage.operators import verify
 from haulage.sinks import write_parquet
 from haulage.sources import CsvDialect, PLAIN, read_csv, read_parquet
@@ -18,10 +19,11 @@ def run(
 ) -> DataFrame:
     """Convert a CSV; returns the checked Parquet table.
 
-    Without ``schema`` the types are inferred, which reads the CSV once more.
+    Without ``schema`` the types are inferred, which reads the CSV once more. An
+    older table at ``parquet_path`` is replaced once the copy is checked.
     """
     source = read_csv(spark, csv_path, schema, infer=schema is None, dialect=dialect)
-    written = write_parquet(source, parquet_path, checksum=True)
-    copy = read_parquet(spark, parquet_path)
-    verify(written, copy, parquet_path)
-    return copy
+    with storage.replacing(spark, parquet_path) as (new,):
+        written = write_parquet(source, new, checksum=True)
+        verify(written, read_parquet(spark, new), parquet_path)
+    return read_parquet(spark, parquet_path)

@@ -116,9 +116,13 @@ def flatten(documents: DataFrame) -> DataFrame:
 
 
 def typed(records: DataFrame) -> DataFrame:
-    """Flat records with the declared column types instead of variants."""
+    """Flat records with the declared column types instead of variants or text.
+
+    Numbers may be given as text. What is no number of its column's type (a round
+    of 1.5) is null here; stored records keep it as it came in.
+    """
     return records.select(
-        [F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD.fields]
+        [_as_declared(f).alias(f.name) for f in RECORD.fields]
         + [F.col(name) for name in records.columns if name not in RECORD.fieldNames()]
     )
 
@@ -146,8 +150,20 @@ def run(
 
 
 def read_results(spark: SparkSession, output_path: str) -> DataFrame:
-    """Stored records of all load dates, typed."""
-    return read_load_dates(spark, output_path, RECORD)
+    """Stored records of all load dates, typed; every stored record can be read."""
+    as_text = struct_of(**dict.fromkeys(RECORD.fieldNames(), _TEXT))
+    return typed(read_load_dates(spark, output_path, as_text))
+
+
+def _as_declared(field: T.StructField) -> Column:
+    text = F.col(field.name).cast(_TEXT)
+    if field.dataType == _TEXT:
+        return text
+    number = text.try_cast("double")
+    if field.dataType == T.DoubleType():
+        return number
+    whole = number.try_cast(field.dataType)
+    return F.when(whole == number, whole)
 
 
 def _complete(result: Column) -> Column:

@@ -22,12 +22,14 @@ def run(
     properties: Mapping[str, str] | None = FILE_FORMAT,
     namespace_location: str | None = None,
     dialect: CsvDialect = PLAIN,
+    keep_previous_files: bool = False,
 ) -> DataFrame:
     """Replace ``table`` by the folder's CSV files; returns the table.
 
-    ``properties`` can be emptied for catalogs that do not take them.
+    ``properties`` can be emptied for catalogs that do not take them. Files of the
+    version before are deleted after the switch unless ``keep_previous_files``.
     """
     source = assert_ready(read_csv_folder(spark, folder, schema, dialect))
     create_namespace(spark, table.rpartition(".")[0], namespace_location)
-    replace_table(source, table, properties)
+    replace_table(source, table, properties, drop_previous_files=not keep_previous_files)
     return read_catalog_table(spark, table)

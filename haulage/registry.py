@@ -29,6 +29,7 @@ from haulage.functions import (
 )
 from haulage.operators import (
     assert_ready,
+    enforce_required,
     fingerprint,
     keep_in,
     keep_present,
@@ -330,6 +331,9 @@ def verify_counts(spark, sf_dir):
 def race_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a race document with 0 to 4 results."""
     text = lambda column: F.col(column).cast("string")
+    month = F.month("o_orderdate").cast("string")
+    # every other document gives its round as text
+    number = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit('"'), month, F.lit('"')))
     count = F.substring("o_orderpriority", 1, 1).cast("int") - 1
 
     def result(i: Column) -> Column:
@@ -357,7 +361,7 @@ def race_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             F.concat(F.lit("race_"), text("o_orderkey")).alias("raceId"),
             F.col("o_orderpriority").alias("raceName"),
-            F.month("o_orderdate").alias("round"),
+            F.parse_json(number.otherwise(month)).alias("round"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
             F.struct(
                 text("o_custkey").alias("circuitId"),
@@ -412,15 +416,29 @@ def race_results_by_date(spark, sf_dir):
     return races.read_results(spark, output)
 
 
-@registered(
-    """SELECT split_part(url, '/', -1) AS name, max_by(url, page_id) AS url FROM pages
-       WHERE regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://') AND split_part(url, '/', -1) <> ''
-       GROUP BY ALL"""
-)
+MANIFEST_SQL = """
+    SELECT split_part(url, '/', -1) AS name, max_by(url, page_id) AS url FROM pages
+    WHERE regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://') AND split_part(url, '/', -1) <> ''
+    GROUP BY ALL
+"""
+
+
+@registered(MANIFEST_SQL)
 def last_write_wins(spark, sf_dir):
     return launches.manifest(page_images(spark, sf_dir))
 
 
+@registered(MANIFEST_SQL)
+def image_manifest(spark, sf_dir):
+    # File names and lines both follow page_id.
+    path, output = scratch_dir(spark, "launches"), scratch_dir(spark, "manifest")
+    pages = page_documents(spark, sf_dir)
+    ordered = pages.repartitionByRange("page_id").sortWithinPartitions("page_id")
+    ordered.write.option("ignoreNullFields", "false").json(path)
+    launches.run(spark, path, output, multi_line=False)
+    return read_parquet(spark, f"{output}/manifest").select("name", "url")
+
+
 @registered("SELECT count(DISTINCT NULLIF(split_part(url, '/', -1), '')) AS files FROM pages")
 def distinct_files(spark, sf_dir):
     return launches.file_count(page_images(spark, sf_dir))
@@ -438,12 +456,11 @@ def image_listing(spark, sf_dir):
     return page_images(spark, sf_dir)
 
 
-def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page as a launch document with four images, three of them unusable."""
     launch = lambda image: F.struct(image.alias("image"))
     url = F.col("url")
-    path = scratch_dir(spark, "launches")
-    open_table(spark, sf_dir, "pages").select(
+    return open_table(spark, sf_dir, "pages").select(
         "page_id",
         F.array(
             launch(url),
@@ -451,7 +468,13 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
             launch(F.concat(url, F.lit("/"))),
             launch(F.lit(None).cast("string")),
         ).alias("results"),
-    ).write.option("ignoreNullFields", "false").json(path)
+    )
+
+
+def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The images of :func:`page_documents`, from landed documents."""
+    path = scratch_dir(spark, "launches")
+    page_documents(spark, sf_dir).write.option("ignoreNullFields", "false").json(path)
     schema = T.StructType([*struct_of(page_id=T.LongType()).fields, *launches.DOCUMENT.fields])
     documents = read_json_documents(spark, path, schema, multi_line=False)
     return launches.list_images(documents, "page_id")
@@ -650,6 +673,12 @@ def required_fields(spark, sf_dir):
     )
 
 
+@registered("SELECT * FROM part")
+def required_columns(spark, sf_dir):
+    part = open_table(spark, sf_dir, "part")
+    return enforce_required(part, ("p_partkey", "p_brand"), "part")
+
+
 @registered(
     "SELECT count(*) AS rows FROM lineitem",
     name="row_count",

@@ -47,18 +47,22 @@ def write_csv(
     """Replace ``path`` by CSV with a header; returns what was written.
 
     The checksum is that of the text, so it can be compared with the file read
-    back as strings.
+    back as strings. If the write fails, the old files stay.
     """
-
-    def write(out: DataFrame) -> None:
-        out.write.options(**dialect.writing()).mode("overwrite").csv(path)
-
-    return observed_write(as_csv_text(df) if checksum else df, write, checksum)
+    text = as_csv_text(df) if checksum else df
+    with storage.replacing(df.sparkSession, path) as (new,):
+        return observed_write(
+            text, lambda out: out.write.options(**dialect.writing()).csv(new), checksum
+        )
 
 
 def write_parquet(df: DataFrame, path: str, checksum: bool = False) -> Fingerprint:
-    """Replace ``path`` by Parquet; returns what was written."""
-    return observed_write(df, lambda out: out.write.mode("overwrite").parquet(path), checksum)
+    """Replace ``path`` by Parquet; returns what was written.
+
+    If the write fails, the old files stay.
+    """
+    with storage.replacing(df.sparkSession, path) as (new,):
+        return observed_write(df, lambda out: out.write.parquet(new), checksum)
 
 
 def replace_load_dates(

@@ -37,6 +37,12 @@ MICROSECONDS = {
 #: and a line break inside a value splits the row. Files can be split by size.
 PLAIN = CsvDialect(write_only=MICROSECONDS)
 
+#: CSV as most tools write it: line breaks and doubled quotes inside quoted values.
+#: A file is then read by one task.
+STANDARD = CsvDialect(
+    shared={"escape": '"'}, write_only=MICROSECONDS, read_only={"multiLine": "true"}
+)
+
 #: Gives every value back as written. A file is then read by one task, so the
 #: writer bounds the rows per file instead.
 LOSSLESS = CsvDialect(

@@ -1,7 +1,11 @@
-"""Path tests and deletes through Hadoop's file system, for any URI scheme."""
+"""Path tests, deletes and replacements through Hadoop's file system, for any URI scheme."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 
@@ -28,3 +32,52 @@ def make_until_exit(spark: SparkSession, path: str) -> None:
     if not fs.exists(hadoop_path):
         fs.mkdirs(hadoop_path)
         fs.deleteOnExit(hadoop_path)
+
+
+@contextmanager
+def replacing(spark: SparkSession, *paths: str) -> Iterator[list[str]]:
+    """Where to write what shall replace the folders ``paths``.
+
+    A path that exists gets a hidden folder beside it, swapped in when the block
+    ends well; all paths change together. If the block fails, what it wrote is
+    deleted and the old folders stay. The swap renames folders: there is a moment
+    without the folder, and a store without renames copies the files.
+    """
+    staged = [_beside(path) if exists(spark, path) else path for path in paths]
+    try:
+        yield staged
+        old = _swap_in(spark, [(a, b) for a, b in zip(staged, paths) if a != b])
+    except BaseException:
+        for path in staged:
+            remove(spark, path)
+        raise
+    for path in old:
+        remove(spark, path)
+
+
+def _beside(path: str) -> str:
+    parent, slash, name = path.rstrip("/").rpartition("/")
+    return f"{parent}{slash}_{name}-{uuid.uuid4().hex}"
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, source_path = _resolve(spark, source)
+    if not fs.rename(source_path, _resolve(spark, target)[1]):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def _swap_in(spark: SparkSession, pairs: list[tuple[str, str]]) -> list[str]:
+    """Put each new folder in place; returns where the old ones are now."""
+    moved: list[tuple[str, str]] = []
+    try:
+        for new, path in pairs:
+            old = _beside(path)
+            _rename(spark, path, old)
+            moved.append((old, path))
+            _rename(spark, new, path)
+    except BaseException:
+        for old, path in reversed(moved):
+            remove(spark, path)
+            _rename(spark, old, path)
+        raise
+    return [old for old, _ in moved]

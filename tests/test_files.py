@@ -174,6 +174,45 @@ def test_writes_can_be_repeated(spark):
     assert read_csv(spark, csv).count() == read_parquet(spark, parquet).count() == 10
 
 
+def test_failed_overwrite_keeps_the_old_files(spark, tmp_path):
+    broken = spark.range(9).select(
+        F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id")
+    )
+    for write in (write_csv, write_parquet):
+        path = str(tmp_path / write.__name__)
+        write(spark.range(3), path)
+        before = sorted(os.listdir(path))
+        with pytest.raises(Exception, match="broken"):
+            write(broken, path)
+        assert sorted(os.listdir(path)) == before
+        write(spark.range(4), path)
+    assert sorted(os.listdir(tmp_path)) == ["write_csv", "write_parquet"]
+    assert read_csv(spark, str(tmp_path / "write_csv")).count() == 4
+    assert read_parquet(spark, str(tmp_path / "write_parquet")).count() == 4
+
+
+def test_failed_swap_puts_all_folders_back(spark, tmp_path, monkeypatch):
+    paths = [str(tmp_path / name) for name in ("a", "b")]
+    for path in paths:
+        write_parquet(spark.range(1), path)
+    rename = storage._rename
+
+    def fails_at_last(spark, source, target):
+        if target == paths[1] and "_b-" in source and not fails_at_last.done:
+            fails_at_last.done = True
+            raise OSError("store is away")
+        rename(spark, source, target)
+
+    fails_at_last.done = False
+    monkeypatch.setattr(storage, "_rename", fails_at_last)
+    with pytest.raises(OSError, match="away"):
+        with storage.replacing(spark, *paths) as staged:
+            for new in staged:
+                spark.range(2).write.parquet(new)
+    assert [read_parquet(spark, path).count() for path in paths] == [1, 1]
+    assert sorted(os.listdir(tmp_path)) == ["a", "b"]
+
+
 def test_dated_path():
     assert dated_path("/base/", "T", "2026-03-07") == "/base/T_2026-03-07"
     assert dated_path("s3a://b", "T", dt.date(2026, 3, 7)) == "s3a://b/T_2026-03-07"

@@ -12,6 +12,7 @@ from haulage.operators import CheckFailed
 from haulage.plans import launches, parquet_copy, races, staging
 from haulage.session import scratch_dir
 from haulage.sinks import create_namespace, drop_table_load_date, replace_table
+from haulage.sources.files import STANDARD
 from haulage.sources import query_catalog, read_catalog_table, read_csv, read_json_documents
 
 
@@ -203,6 +204,16 @@ def test_empty_rerun_leaves_no_stale_records(spark, tmp_path):
     assert [r.load_date for r in races.read_results(spark, output).collect()] == ["20260306"]
 
 
+def test_every_accepted_record_can_be_read_back(spark, tmp_path):
+    output = scratch_dir(spark, "races")
+    put(tmp_path, "a.json", {**race({**RESULT, "points": "25"}, round="24"), "season": "2026"})
+    put(tmp_path, "b.json", race({**RESULT, "points": "none"}, round=1.5))
+    put(tmp_path, "c.json", race({**RESULT, "points": None}, round="7.0"))
+    races.run(spark, str(tmp_path), output, "2026-03-07")
+    found = races.read_results(spark, output).select("race_season", "race_round", "points")
+    assert rows(found) == sorted([(2026, 24, 25.0), (2026, None, None), (2026, 7, None)], key=repr)
+
+
 def test_flatten_needs_no_shuffle(spark, tmp_path):
     put(tmp_path, "a.json", race(RESULT))
     documents = read_json_documents(spark, str(tmp_path), races.DOCUMENT)
@@ -257,6 +268,31 @@ def test_launch_without_image_key_fails(spark, tmp_path, document):
         launches.manifest(launches.list_images(documents, F.lit("only"))).collect()
 
 
+def test_failed_rerun_keeps_listing_and_manifest(spark, tmp_path):
+    output = scratch_dir(spark, "manifest")
+    put(tmp_path, "1.json", images("https://a/x.jpg", "x.jpg"))
+    launches.run(spark, str(tmp_path), output)
+    put(tmp_path, "2.json", {"results": [{"name": "no image"}]})
+    with pytest.raises(Exception, match="missing required keys"):
+        launches.run(spark, str(tmp_path), output)
+    assert spark.read.parquet(f"{output}/listing").count() == 2
+    assert rows(spark.read.parquet(f"{output}/manifest")) == [("x.jpg", "https://a/x.jpg")]
+
+
+def test_later_line_wins_in_json_lines(spark, tmp_path):
+    lines = [json.dumps(images(f"https://host{i}/x.jpg")) for i in range(2000)]
+    put(tmp_path, "a.json", "\n".join(lines))
+    output = scratch_dir(spark, "manifest")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")  # several blocks of one file
+    try:
+        launches.run(spark, str(tmp_path), output, multi_line=False)
+    finally:
+        spark.conf.set(key, before)
+    assert rows(spark.read.parquet(f"{output}/manifest")) == [("x.jpg", "https://host1999/x.jpg")]
+
+
 # --- CSV to Parquet ---
 
 SALES = (
@@ -275,6 +311,32 @@ def test_parquet_copy(spark, tmp_path):
     assert rows(copied.select("product", "quantity")) == [("Lantern", 6), ("Rope", None)]
 
 
+def test_failed_parquet_copy_keeps_the_old_table(spark, tmp_path):
+    output = scratch_dir(spark, "parquet")
+    put(tmp_path, "sales.csv", SALES)
+    schema = "date date, product string, quantity int, unit_price double"
+    parquet_copy.run(spark, str(tmp_path / "sales.csv"), output, schema)
+    put(tmp_path, "sales.csv", SALES + "2031-05-10,Rope,many,3.5\n")
+    with pytest.raises(Exception):
+        parquet_copy.run(spark, str(tmp_path / "sales.csv"), output, schema)
+    assert spark.read.parquet(output).count() == 2
+
+
+def test_standard_csv_keeps_line_breaks_and_quotes(spark, tmp_path):
+    put(tmp_path, "a.csv", 'k,v\n1,"two\nlines"\n2,"say ""hi"", x"\n')
+    copied = parquet_copy.run(
+        spark, str(tmp_path / "a.csv"), scratch_dir(spark, "parquet"), dialect=STANDARD
+    )
+    assert rows(copied) == [(1, "two\nlines"), (2, 'say "hi", x')]
+
+
+def test_reordered_header_fails_a_copy(spark, tmp_path):
+    put(tmp_path / "in", "1.csv", "a,b\n1,2\n")
+    put(tmp_path / "in", "2.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception):
+        parquet_copy.run(spark, str(tmp_path / "in"), scratch_dir(spark, "parquet"))
+
+
 def test_parquet_copy_with_schema_reads_once(spark, tmp_path):
     put(tmp_path, "sales.csv", SALES)
     schema = "date date, product string, quantity long, unit_price decimal(9,2)"
@@ -315,6 +377,26 @@ def test_stage_csv_folder(spark, tmp_path, namespace):
     assert properties["write.format.default"] == "parquet"
 
 
+@pytest.mark.parametrize(("keep", "folders"), [(False, 1), (True, 3)])
+def test_staging_leaves_as_many_versions_as_asked(spark, tmp_path, keep, folders):
+    name, location = f"ns_{uuid.uuid4().hex}", scratch_dir(spark, "staging")
+    put(tmp_path, "1.csv", "k,name\n1,a\n")
+    for _ in range(3):
+        staging.run(
+            spark, str(tmp_path), f"{name}.t", namespace_location=location, keep_previous_files=keep
+        )
+    assert len(os.listdir(location.removeprefix("file:"))) == folders
+    assert spark.table(f"{name}.t").count() == 1
+    spark.sql(f"DROP NAMESPACE {name} CASCADE")
+
+
+def test_a_folder_of_someone_else_is_not_dropped(spark, tmp_path, namespace):
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    spark.catalog.createTable(f"{namespace}.t", path=str(tmp_path / "own"), source="parquet")
+    replace_table(spark.range(4), f"{namespace}.t", drop_previous_files=True)
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 3
+
+
 def test_replace_changes_schema_and_rows(spark, namespace):
     table = f"{namespace}.t"
     replace_table(spark.range(3), table)
