@@ -258,6 +258,13 @@ def test_replicate_reports_each_table(spark):
     assert rows(read_table(spark, target, "src_FILLED")) == rows(read_table(spark, source, "FILLED"))
 
 
+def test_decimal_keys_are_split(spark, database, table):
+    keys = spark.range(1000).select(F.col("id").cast("decimal(18,0)").alias("k"), F.lit("x").alias("v"))
+    write_table(keys, database, table)
+    sizes = partition_sizes(spark, database, table, Split(target_rows=100))
+    assert sum(sizes) == 1000 and max(sizes) <= 100
+
+
 def execute(spark, endpoint, sql):
     connection = spark._jvm.java.sql.DriverManager.getConnection(endpoint.url)
     try:
@@ -311,6 +318,21 @@ def test_customer_pipeline(spark, database, table):
     assert rows(staged) == sorted(wanted, key=repr)
 
 
+def test_customer_staging_can_be_typed(spark, database, table):
+    customer_table(spark, database, table)
+    schema = ", ".join(
+        f"{name} {dict(CustomerKey='int', BirthDate='date').get(name, 'string')}"
+        for name in customer.OUTPUT_COLUMNS
+    )
+    base = scratch_dir(spark, "customer")
+    customer.run(
+        spark, database, database, base, "2026-03-07", table, f"stg_{table}", schema=schema
+    )
+    staged = read_table(spark, database, f"stg_{table}")
+    assert [t for _, t in staged.dtypes][:5] == ["int", "string", "string", "string", "date"]
+    assert staged.count() == 5
+
+
 def test_customer_pipeline_with_plain_csv(spark, database, table):
     write_table(
         spark.createDataFrame(
