@@ -265,6 +265,79 @@ def test_decimal_keys_are_split(spark, database, table):
     assert sum(sizes) == 1000 and max(sizes) <= 100
 
 
+# --- splits by other keys, and skew ---
+
+
+def test_text_keys_are_split(spark, database, table):
+    keys = spark.range(1000).select(F.format_string("Key 'O''%06d", "id").alias("k"))
+    write_table(keys, database, table)
+    sizes = partition_sizes(spark, database, table, Split(target_rows=100))
+    assert sum(sizes) == 1000 and max(sizes) <= 100
+    assert rows(read_table(spark, database, table, Split(target_rows=100))) == rows(keys)
+
+
+def test_long_decimal_keys_are_split(spark, database, table):
+    big = F.lit("1234567890123456789012345").cast("decimal(30,0)")
+    keys = spark.range(1000).select((big + F.col("id").cast("decimal(30,0)")).cast("decimal(30,0)").alias("k"))
+    write_table(keys, database, table)
+    sizes = partition_sizes(spark, database, table, Split(target_rows=100))
+    assert sum(sizes) == 1000 and max(sizes) <= 100
+
+
+@pytest.mark.parametrize("other", ["text", "money", "time"])
+def test_a_hot_key_is_divided_by_any_later_column(spark, database, table, other):
+    value = {
+        "text": F.md5(F.col("id").cast("string")),
+        "money": (F.col("id") / 7).cast("decimal(12,2)"),
+        "time": F.timestamp_seconds(F.col("id") * 0.01).cast("timestamp_ntz"),
+    }[other]
+    df = spark.range(2000).select(F.lit(1).alias("k"), value.alias("v"))
+    write_table(df, database, table)
+    sizes = partition_sizes(spark, database, table, Split(target_rows=200))
+    assert sum(sizes) == 2000 and max(sizes) <= 400
+    assert rows(read_table(spark, database, table, Split(target_rows=200))) == rows(df)
+
+
+def test_counted_times_follow_the_rows(spark, database, table):
+    # Nine tenths of the rows on one timestamp, a tenth without one.
+    start = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    at = F.when(F.col("id") < 1600, start).when(F.col("id") < 1800, start + F.expr("make_dt_interval(0, 0, 0, id)"))
+    df = spark.range(2000).select(at.alias("at"), F.col("id").cast("string").alias("v"))
+    write_table(df, database, table)
+    sizes = partition_sizes(spark, database, table, Split(target_rows=100))
+    assert sum(sizes) == 2000 and max(sizes) <= 200
+
+
+def test_many_clusters_take_few_planning_queries(spark, database, table, monkeypatch):
+    keys = spark.range(4000).select(((F.col("id") % 200) * 1_000_000_000_000 + F.col("id")).alias("k"))
+    write_table(keys, database, table)
+    asked = []
+
+    def counting(spark, endpoint, sql, *args, **options):
+        asked.append(sql)
+        return read_query(spark, endpoint, sql, *args, **options)
+
+    monkeypatch.setattr("haulage.sources.jdbc.read_query", counting)
+    parts = split_predicates(spark, database, table, Split(target_rows=10))
+    assert len(asked) <= 6
+    assert 400 <= len(parts) <= 1000
+    monkeypatch.undo()
+    cases = " ".join(f"WHEN {where} THEN {i}" for i, where in enumerate(parts[:150]))
+    sql = f"SELECT b, COUNT(*) AS n FROM (SELECT CASE {cases} ELSE -1 END AS b FROM {table}) x WHERE b >= 0 GROUP BY b"
+    assert max(r.N if hasattr(r, "N") else r[1] for r in read_query(spark, database, sql).collect()) <= 20
+
+
+def test_number_of_reads_is_bounded(spark, database, table):
+    write_table(spark.range(1000), database, table)
+    assert len(split_predicates(spark, database, table, Split(target_rows=1, max_reads=10))) <= 21
+
+
+def test_equal_rows_stay_one_read(spark, database, table):
+    write_table(spark.range(50).select(F.lit(1).alias("k"), F.lit("x").alias("v")), database, table)
+    found = read_table(spark, database, table, Split(target_rows=10))
+    assert found.count() == 50
+
+
 def execute(spark, endpoint, sql):
     connection = spark._jvm.java.sql.DriverManager.getConnection(endpoint.url)
     try:
