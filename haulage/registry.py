@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -45,6 +46,7 @@ from haulage.sinks import (
     create_namespace,
     drop_load_date,
     drop_table_load_date,
+    drop_tables,
     replace_load_dates,
     replace_table,
     write_csv,
@@ -66,6 +68,7 @@ from haulage.sources import (
     read_table,
 )
 from haulage.sources.embedded import working_endpoint
+from haulage.sources.jdbc import quoted
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -153,18 +156,17 @@ def jdbc_roundtrip(spark, sf_dir):
     source = working_endpoint(spark, "source")
     target = working_endpoint(spark, "target")
     base = scratch_dir(spark, "customer")
-    write_table(customer_source(spark, sf_dir), source, "customer_source")
-    customer.run(
-        spark,
-        source,
-        target,
-        base,
-        RUN_DATE,
-        source_table="customer_source",
-        staging_table="stg_customer",
-    )
-    storage.remove(spark, base)
-    return read_table(spark, target, "stg_customer")
+    given, staged = new_table("customer"), new_table("stg_customer")
+    write_table(customer_source(spark, sf_dir), source, given)
+    try:
+        customer.run(
+            spark, source, target, base, RUN_DATE, source_table=given, staging_table=staged
+        )
+        return landed(read_table(spark, target, staged))
+    finally:
+        storage.remove(spark, base)
+        drop_tables(spark, source, [given])
+        drop_tables(spark, target, [staged])
 
 
 @registered(f'SELECT * FROM ({CUSTOMER_SQL}) WHERE "EmailAddress" IS NOT NULL')
@@ -203,13 +205,33 @@ def constant_columns(spark, sf_dir):
 # --- JDBC --------------------------------------------------------------------
 
 
+def new_table(name: str) -> str:
+    """A table name of this call alone: the database may hold tables of others."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
+def landed(df: DataFrame) -> DataFrame:
+    """Rows as files in the shared folder, so that what they came from can go."""
+    path = scratch_dir(df.sparkSession, "landed")
+    write_parquet(df, path)
+    return read_parquet(df.sparkSession, path)
+
+
+def even_split(spark: SparkSession, rows: int, *columns: str) -> Split:
+    """As many reads as tasks run at once."""
+    return Split(columns, target_rows=max(1, -(-rows // spark.sparkContext.defaultParallelism)))
+
+
 @registered("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0")
 def jdbc_query_scan(spark, sf_dir):
-    database = working_endpoint(spark, "source")
-    write_table(open_table(spark, sf_dir, "customer"), database, "customer_scan")
-    sql = 'SELECT * FROM customer_scan WHERE "c_acctbal" > 0'
-    rows = read_query(spark, database, sql, Split(("c_custkey",), target_rows=100_000))
-    return rows.select("c_custkey", "c_name", "c_acctbal")
+    database, name = working_endpoint(spark, "source"), new_table("customer")
+    write_table(open_table(spark, sf_dir, "customer"), database, name)
+    try:
+        split = even_split(spark, count_rows(spark, database, name), "c_custkey")
+        rows = read_query(spark, database, f'SELECT * FROM {name} WHERE "c_acctbal" > 0', split)
+        return landed(rows.select("c_custkey", "c_name", "c_acctbal"))
+    finally:
+        drop_tables(spark, database, [name])
 
 
 @registered(
@@ -217,32 +239,90 @@ def jdbc_query_scan(spark, sf_dir):
               strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders"""
 )
 def jdbc_partitioned_scan(spark, sf_dir):
-    database = working_endpoint(spark, "source")
-    write_table(open_table(spark, sf_dir, "orders"), database, "orders_scan")
-    reads = spark.sparkContext.defaultParallelism
-    rows_each = -(-count_rows(spark, database, "orders_scan") // reads)
-    orders = read_table(spark, database, "orders_scan", Split(("o_orderkey",), rows_each))
+    database, name = working_endpoint(spark, "source"), new_table("orders")
+    write_table(open_table(spark, sf_dir, "orders"), database, name)
+    try:
+        split = even_split(spark, count_rows(spark, database, name), "o_orderkey")
+        orders = landed(read_table(spark, database, name, split))
+    finally:
+        drop_tables(spark, database, [name])
     return orders.withColumn("o_orderdate", day_text("o_orderdate"))
 
 
-REPLICATED = ("region", "nation", "supplier", "part", "customer", "orders")
+# Whole rows as text; amounts in cents.
+REPLICATED = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "orders": (
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+    ),
+}
+AMOUNTS = ("s_acctbal", "p_retailprice", "c_acctbal", "o_totalprice")
+
+
+def row_text_sql(columns: tuple[str, ...]) -> str:
+    def text(c: str) -> str:
+        if c in AMOUNTS:
+            c = f"CAST(round({c} * 100) AS BIGINT)"
+        elif c == "o_orderdate":
+            c = f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+        return f"coalesce(CAST({c} AS VARCHAR), '')"
+
+    return f"concat_ws('|', {', '.join(map(text, columns))})"
+
+
+def row_text(df: DataFrame, columns: tuple[str, ...]) -> Column:
+    def text(c: str) -> Column:
+        value = F.col(c)
+        if c in AMOUNTS:
+            value = F.round(value * 100).cast("long")
+        elif c == "o_orderdate":
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        return F.coalesce(value.cast("string"), F.lit(""))
+
+    return F.concat_ws("|", *map(text, columns))
 
 
 @registered(
     " UNION ALL ".join(
-        f"SELECT '{name.upper()}' AS table_name, 'loaded' AS status,"
-        f" count(*) AS source_rows, count(*) AS target_rows FROM {name}"
-        for name in REPLICATED
+        f"SELECT '{name}' AS table_name, 'loaded' AS status, count(*) OVER () AS source_rows,"
+        f" count(*) OVER () AS target_rows, {row_text_sql(columns)} AS row_text FROM {name}"
+        for name, columns in REPLICATED.items()
     )
 )
 def replicate_tables(spark, sf_dir):
     source = working_endpoint(spark, "source")
     target = working_endpoint(spark, "target")
-    for name in REPLICATED:
-        write_table(open_table(spark, sf_dir, name), source, name)
-    names = [name.upper() for name in REPLICATED]
-    report = replicate.run(spark, source, target, names, schema=None)
-    return report.select("table_name", "status", "source_rows", "target_rows")
+    # names that need quoting keep their letters' case in every database
+    mark = f"h-{uuid.uuid4().hex[:12]}"
+    names, prefix = {f"{mark}-{name}": name for name in REPLICATED}, "src-"
+    try:
+        for key, name in names.items():
+            write_table(open_table(spark, sf_dir, name), source, quoted(key))
+        rows = max(count_rows(spark, source, quoted(key)) for key in names)
+        report = replicate.run(
+            spark, source, target, names, None, prefix, even_split(spark, rows)
+        )
+        rows_of = []
+        for done in report.collect():  # a row per table
+            name = names[done.table_name]
+            columns = [F.lit(v) for v in (name, done.status, done.source_rows, done.target_rows)]
+            if done.status == "loaded":
+                content = read_table(
+                    spark, target, quoted(prefix + done.table_name), even_split(spark, rows)
+                )
+                text = row_text(content, REPLICATED[name])
+            else:
+                content, text = spark.range(1), F.lit(None).cast("string")
+            known_as = ("table_name", "status", "source_rows", "target_rows", "row_text")
+            rows_of.append(content.select(*map(Column.alias, [*columns, text], known_as)))
+        return landed(reduce(DataFrame.unionByName, rows_of))
+    finally:
+        drop_tables(spark, source, names)
+        drop_tables(spark, target, [prefix + key for key in names])
 
 
 # --- CSV and Parquet files ---------------------------------------------------
@@ -564,7 +644,7 @@ def catalog_replace(spark, sf_dir):
     )
 
 
-@registered("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+@registered("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def catalog_replace_own(spark, sf_dir):
     # A catalog that replaces tables itself: Spark's JDBC catalog.
     database = working_endpoint(spark, "lakehouse")
@@ -575,9 +655,7 @@ def catalog_replace_own(spark, sf_dir):
     create_namespace(spark, "haulage_demo.staging")
     suppliers = open_table(spark, sf_dir, "supplier")
     replace_table(suppliers.select("s_suppkey", "s_name"), "haulage_demo.staging.suppliers")
-    replace_table(
-        suppliers.select("s_suppkey", "s_name", "s_acctbal"), "haulage_demo.staging.suppliers"
-    )
+    replace_table(suppliers, "haulage_demo.staging.suppliers")
     return read_catalog_table(spark, "haulage_demo.staging.suppliers")
 
 

@@ -10,7 +10,7 @@ from haulage.sinks.files import (
     write_csv,
     write_parquet,
 )
-from haulage.sinks.jdbc import load_table, write_table
+from haulage.sinks.jdbc import drop_tables, load_table, write_table
 
 __all__ = [
     "as_csv_text",
@@ -18,6 +18,7 @@ __all__ = [
     "dated_path",
     "drop_load_date",
     "drop_table_load_date",
+    "drop_tables",
     "load_table",
     "open_writers",
     "replace_load_dates",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 import pytest
@@ -327,6 +328,21 @@ def test_many_clusters_take_few_planning_queries(spark, database, table, monkeyp
     assert max(r.N if hasattr(r, "N") else r[1] for r in read_query(spark, database, sql).collect()) <= 20
 
 
+texts = st.one_of(st.none(), st.text("aAb' %_é", max_size=4))
+moments = st.one_of(st.none(), st.datetimes(dt.datetime(1900, 1, 1), dt.datetime(2100, 1, 1)), st.integers(0, 9).map(lambda n: dt.datetime(2026, 1, 1, microsecond=n)))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(texts, moments), min_size=1, max_size=40), st.integers(1, 10), st.booleans())
+def test_split_by_texts_and_times_covers_every_row_once(spark, database, pairs, target, text_first):
+    name = f"T{uuid.uuid4().hex[:12]}".upper()
+    df = spark.createDataFrame(pairs, "k string, v timestamp_ntz").coalesce(1)
+    write_table(df, database, name)
+    columns = ("k", "v") if text_first else ("v", "k")
+    found = read_table(spark, database, name, Split(columns, target))
+    assert rows(found) == rows(df)
+
+
 def test_number_of_reads_is_bounded(spark, database, table):
     write_table(spark.range(1000), database, table)
     assert len(split_predicates(spark, database, table, Split(target_rows=1, max_reads=10))) <= 21

@@ -444,6 +444,20 @@ def test_previous_files_can_be_dropped(spark, namespace):
     assert read_catalog_table(spark, table).count() == 6
 
 
+@pytest.mark.parametrize("made_by", ["replace_table", "saveAsTable"])
+def test_files_of_a_managed_table_do_not_outlive_it(spark, namespace, made_by):
+    table = f"{namespace}.gone"
+    replace = replace_table if made_by == "replace_table" else (lambda df, name: df.write.saveAsTable(name))
+    replace(spark.range(5), table)
+    files = list(read_catalog_table(spark, table).inputFiles())
+    for v in ("a", "b"):  # other columns, then the same ones
+        replace_table(spark.range(6).withColumn("v", F.lit(v)), table, drop_previous_files=True)
+        files += read_catalog_table(spark, table).inputFiles()
+    assert read_catalog_table(spark, table).count() == 6
+    spark.sql(f"DROP TABLE {table}")
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
 def test_drop_load_date_of_table(spark, namespace):
     table = f"{namespace}.dated"
     df = spark.createDataFrame([(1, "20260101"), (2, "20260102")], "k int, load_date string")
