@@ -22,12 +22,13 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from haulage.llm.storing import stored
+from haulage.session import scratch_dir
 
 SEPARATOR = r"[\x20\x09-\x0D]+"
 LONG = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}"
@@ -130,7 +131,10 @@ def judged(labelled: DataFrame, max_findings: int = MAX_FINDINGS) -> DataFrame:
         return labelled.withColumn("probability", chance).withColumn("secret", chance >= 0.5)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=10, featuresCol="features", labelCol="label")
-    model = forest.fit(assembler.transform(sample))
+    path = scratch_dir(labelled.sparkSession, "forest")
+    forest.fit(assembler.transform(sample)).save(path)
+    # a fitted model holds its session, which can't go to tasks once it has observed metrics
+    model = RandomForestClassificationModel.load(path)
     scored = model.transform(assembler.transform(labelled))
     chance = vector_to_array("probability")[1]
     return scored.select(*labelled.columns, chance.alias("probability")).withColumn("secret", F.col("probability") >= 0.5)

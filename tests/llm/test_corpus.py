@@ -13,7 +13,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from haulage.llm import chat, leaks, minhash, mixing, passages, quality, queries, secrets, tokens, toxicity, weighted, words
 from haulage.session import scratch_dir
@@ -330,6 +330,14 @@ def test_collision_rate_is_generalised_jaccard():
         assert abs((draws[0] == draws[1]).mean() - truth) < 0.04
 
 
+def test_secrets_after_observed_metrics(spark, docs):
+    watched = Observation("rows")
+    spark.range(3).observe(watched, F.count(F.lit(1)).alias("n")).collect()
+    assert watched.get["n"] == 3
+    findings = secrets.find_secrets(docs)
+    assert findings.count() == len(findings.collect())
+
+
 def test_secrets(spark, docs, empty):
     pick, rows = random.Random(6), []
     key = lambda n: "".join(pick.choices("0123456789abcdef", k=n))
