@@ -1,6 +1,6 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
-A document's set holds its distinct 5-word shingles (A-Z folded), hashed to 64
+A document's set holds its distinct 5-word shingles (A-Z folded), hashed to 63
 bits; its sketch keeps the ``k`` least values. Documents with equal sets are one
 node. Inverted lists of the retained values give candidates, the k least values
 of the union estimate their similarity, and full sets confirm it. A pair at 0.75
@@ -59,6 +59,7 @@ def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> Iterator[tuple[int
         if len(few):
             whole = [mix(sequence_hashes(chunk.hash[bounds[r] : bounds[r + 1]], int(counts[r])), int(counts[r])) for r in few]
             hashes, rows = np.concatenate([hashes, *whole]), np.concatenate([rows, few])
+        hashes = hashes >> np.uint64(1)  # Spark's longs are signed; 63 bits have one order everywhere
         order = np.lexsort((hashes, rows))
         hashes, rows = hashes[order], rows[order]
         fresh = np.ones(len(rows), dtype=bool)

@@ -223,6 +223,19 @@ def test_near_duplicates(docs, rows, empty, short):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_contained_at_the_threshold(spark):
+    pairs = []
+    for i, n in enumerate(range(72, 141, 4)):  # a copy cut to 3/4 of the shingles: J is 0.75 exactly
+        for j in range(4):
+            w = [f"p{i}x{j}w{at}" for at in range(n + 4)]
+            pairs.append((" ".join(w), " ".join(w[: n * 3 // 4 + 4])))
+    rows = [(2 * i + j, text) for i, pair in enumerate(pairs) for j, text in enumerate(pair)]
+    _, roots = near_by_force(rows)
+    assert all(roots[2 * i + 1] == 2 * i for i in range(len(pairs)))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == roots
+
+
 def test_quality(docs, rows, empty, spark):
     pick = random.Random(3)
     plain = ["".join(pick.choices("aeiolnst", k=pick.randint(3, 8))) for _ in range(300)]
