@@ -8,9 +8,10 @@ c * exp(-r * (t - b + 1)). The draw keeps the term with the least rank and its
 t. Two documents keep the same with probability sum(min w) / sum(max w), the
 generalised Jaccard similarity of their bags.
 
-Terms are hashed to ``2 ** term_bits`` places, whose random numbers are made
-once per worker; ranks for small weights come from tables. A fingerprint is four
-hexadecimal digits for each draw; likeness is the share of equal draws.
+A term is named by ``term_bits`` bits of its hash, all 64 as a rule, and its random
+numbers are made from them, so unlike terms stay apart in texts of any length. A
+fingerprint is four hexadecimal digits for each draw; likeness is the share of equal
+draws.
 
 Defined results: null text is empty; a text without words has a fingerprint of
 zeros, like every other such text, and likeness 1 to them only; equal texts have
@@ -33,63 +34,75 @@ from haulage.llm.storing import stored
 from haulage.llm.words import mix, sequence_hashes, words_of
 
 SAMPLES = 64
-TERM_BITS = 15
-TABLE_WEIGHTS = 3
+TERM_BITS = 64
+PART = 512
 ROWS = 128
 
 
+def _exponential(bits: np.ndarray) -> np.ndarray:
+    """Exp(1) numbers from 64 random bits, in their order."""
+    return -np.log1p(((bits >> np.uint64(11)) + 0.5) * -(2.0**-53))
+
+
 class Sampler:
-    """The random numbers of every term and draw, and ranks for weights 1, 2, ..."""
+    """The random numbers of every term and draw, made from the term's hash.
+
+    Of three Exp(1) numbers e, f and g of a term and draw, c = e + f, r (1 - b) = ln(c / e)
+    and r b = g are distributed as asked, and a term of weight 1 has t = 0 and the rank e.
+    So e alone, or the ``places`` it is made from, finds the least of these.
+    """
 
     def __init__(self, samples: int = SAMPLES, term_bits: int = TERM_BITS, seed: int = 9):
-        random = np.random.default_rng(seed)
-        shape = (1 << term_bits, samples)
-        gamma = lambda: random.gamma(2.0, 1.0, shape).astype(np.float32)
-        self.samples, self.term_bits = samples, term_bits
-        self.r, self.log_c = gamma(), np.log(gamma())
-        self.b = random.random(shape, dtype=np.float32)
-        self.tables = [self.ranks(slice(None), np.float32(w))[0] for w in range(1, TABLE_WEIGHTS + 1)]
-
-    def ranks(self, terms, weights) -> tuple[np.ndarray, np.ndarray]:
-        """ln of the rank and t, for terms of the given weights (a row each)."""
-        r, b = self.r[terms], self.b[terms]
-        logs = np.log(weights)
-        t = np.floor((logs[:, None] if np.ndim(logs) else logs) / r + b)
-        return self.log_c[terms] - r * (t - b + 1), t
+        self.samples, self.term_bits, self.seed = samples, term_bits, seed
+        self.factors = np.random.default_rng(seed).integers(0, 1 << 64, (samples, 1), dtype=np.uint64) | np.uint64(1)
+
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        """64 bits for each draw (a row) and term (a column), a bijection of terms in each draw."""
+        x = terms * self.factors
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        return x
+
+    def ranks(self, places: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ln of the rank and t, for terms of the given weights (a column each)."""
+        e, c = _exponential(places), _exponential(mix(places, 6))
+        c += e
+        g = _exponential(mix(places, 7))
+        r = np.log(c / e) + g
+        b = g / r
+        t = np.floor(np.log(weights) / r + b)
+        return np.log(c) - r * (t - b + 1), t
 
     def draws(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """16 bits for each draw from a bag; all zero for an empty one."""
         if not len(terms):
             return np.zeros(self.samples, dtype=np.uint16)
-        best = np.full(self.samples, np.inf, dtype=np.float32)
-        kept = np.zeros(self.samples, dtype=np.int64)
+        terms = mix(terms.astype(np.uint64), self.seed)
+        once, often = terms[weights == 1], np.flatnonzero(weights > 1)
+        kept = np.full(self.samples, np.iinfo(np.uint64).max, dtype=np.uint64)
+        for at in range(0, len(once), PART):
+            np.minimum(kept, self.places(once[at : at + PART]).min(axis=1), out=kept)
+        best = np.log(_exponential(kept)) if len(once) else np.full(self.samples, np.inf)
         level = np.zeros(self.samples, dtype=np.int64)
-        for at in range(0, len(terms), 4096):
-            part, weight = terms[at : at + 4096], weights[at : at + 4096]
-            rank = np.empty((len(part), self.samples), dtype=np.float32)
-            for w, table in enumerate(self.tables, 1):
-                rows = np.flatnonzero(weight == w)
-                rank[rows] = table[part[rows]]
-            rows = np.flatnonzero(weight > TABLE_WEIGHTS)
-            if len(rows):
-                rank[rows] = self.ranks(part[rows], weight[rows].astype(np.float32))[0]
-            first = rank.argmin(axis=0)
-            least = rank[first, np.arange(self.samples)]
+        each = np.arange(self.samples)
+        for at in range(0, len(often), PART):
+            part = often[at : at + PART]
+            places = self.places(terms[part])
+            rank, t = self.ranks(places, weights[part].astype(np.float64))
+            first = rank.argmin(axis=1)
+            least = rank[each, first]
             better = least < best
-            chosen = part[first]
-            picks = np.arange(self.samples)
-            t = np.floor(np.log(weight[first].astype(np.float32)) / self.r[chosen, picks] + self.b[chosen, picks])
             best = np.where(better, least, best)
-            kept = np.where(better, chosen, kept)
-            level = np.where(better, t.astype(np.int64), level)
-        return (mix(kept.astype(np.uint64) * np.uint64(65537) + level.astype(np.uint64), 3) >> np.uint64(48)).astype(np.uint16)
+            kept = np.where(better, places[each, first], kept)
+            level = np.where(better, t[each, first].astype(np.int64), level)
+        return (mix(kept * np.uint64(65537) + level.astype(np.uint64), 3) >> np.uint64(48)).astype(np.uint16)
 
     def bags(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Terms and weights of each text."""
         for chunk in words_of(pa.array(texts, pa.large_string())):
             bounds = chunk.offsets()
-            single = (mix(chunk.hash, 5) >> np.uint64(64 - self.term_bits)).astype(np.int64)
-            paired = (sequence_hashes(chunk.hash, 2) >> np.uint64(64 - self.term_bits)).astype(np.int64)
+            single = mix(chunk.hash, 5) >> np.uint64(64 - self.term_bits)
+            paired = sequence_hashes(chunk.hash, 2) >> np.uint64(64 - self.term_bits)
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 yield np.unique(single[a:b] if b - a < 2 else paired[a : b - 1], return_counts=True)
 

@@ -343,6 +343,15 @@ def test_collision_rate_is_generalised_jaccard():
         assert abs((draws[0] == draws[1]).mean() - truth) < 0.04
 
 
+def test_fingerprints_of_long_texts(spark):
+    first, second = (" ".join(f"{name}{i}" for i in range(100_000)) for name in "xy")
+    half = first[: len(first) // 2] + second[: len(second) // 2]
+    rows = spark.createDataFrame([(1, first), (2, second), (3, half)], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in weighted.fingerprints(rows).collect()}
+    assert got[1].near_next <= 0.05  # no pair in common
+    assert abs(got[1].near_edited - 0.6) < 0.25 and abs(got[3].near_next - 1 / 3) < 0.25
+
+
 def test_secrets_after_observed_metrics(spark, docs):
     watched = Observation("rows")
     spark.range(3).observe(watched, F.count(F.lit(1)).alias("n")).collect()
