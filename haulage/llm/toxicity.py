@@ -8,9 +8,10 @@ largest answers are carried on, so memory does not grow with the text.
 
 The model is fitted on at most ``max_per_class`` labelled rows of each class, in
 an order fixed by a hash; everything else covers all rows. A threshold for each
-language is the score that separates best in that language's labelled rows,
-kept within ``THRESHOLD_RANGE``; a language with fewer than ``MIN_CALIBRATION``
-rows of a class uses 0.5. The score never sees the language.
+language is the step of ``GRID`` with the fewest errors in all labelled rows of that
+language that were not fitted on: all beyond the sample, and what ``_kept_apart``
+leaves out of it. A language with fewer than ``MIN_CALIBRATION`` such rows of a class
+uses 0.5. The score never sees the language.
 
 Defined results: null or wordless text has the score of an empty document; null
 language uses 0.5; repeated rows score alike; without labelled rows of both
@@ -41,6 +42,7 @@ STEP = 0.08
 PIECE_WORDS = 1 << 16
 MIN_CALIBRATION = 20
 THRESHOLD_RANGE = (0.2, 0.8)
+GRID = np.linspace(*THRESHOLD_RANGE, 25)
 
 
 def features(column: pa.Array, bits: int = TABLE_BITS):
@@ -148,14 +150,15 @@ class Classifier:
                     seen[0][touched] += total * total
                     self.table[touched] -= STEP * total / np.sqrt(seen[0][touched])
 
-    def calibrate(self, scores: np.ndarray, labels: np.ndarray, langs: list[str | None]) -> None:
-        """The threshold of each language with the fewest errors, nearest to 0.5."""
-        grid = sorted(np.linspace(*THRESHOLD_RANGE, 25), key=lambda x: abs(x - 0.5))
-        kinds = np.array([x or "" for x in langs], dtype=object)
-        for lang in sorted({x for x in kinds if x}):
-            own, truth = scores[kinds == lang], labels[kinds == lang]
-            if min((truth == 1).sum(), (truth == 0).sum()) >= MIN_CALIBRATION:
-                self.thresholds[lang] = float(min(grid, key=lambda x: ((own >= x) != (truth == 1)).sum()))
+    def calibrate(self, counts: dict[str, np.ndarray]) -> None:
+        """The threshold of each language with the fewest errors, nearest to 0.5.
+
+        ``counts`` has, by language, the rows of each class (0 and 1) and step (``steps``).
+        """
+        for lang, (plain, toxic) in counts.items():
+            if min(plain.sum(), toxic.sum()) >= MIN_CALIBRATION:
+                errors = np.cumsum(toxic)[:-1] + plain.sum() - np.cumsum(plain)[:-1]
+                self.thresholds[lang] = float(GRID[min(range(len(GRID)), key=lambda i: (errors[i], abs(GRID[i] - 0.5)))])
 
     def threshold(self, lang: str | None) -> float:
         return self.thresholds.get(lang or "", 0.5)
@@ -167,10 +170,47 @@ class Classifier:
         return np.array(out, dtype=np.float64)
 
 
+def steps(scores: np.ndarray) -> np.ndarray:
+    """How many steps of ``GRID`` each score reaches."""
+    return np.searchsorted(GRID, scores, side="right")
+
+
+def _steps(model: Classifier):
+    def run(batches):
+        for batch in batches:
+            reached = pa.array(steps(model.scores(batch.column(1))).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), reached], names=["doc_id", "lang", "step"])
+
+    return run
+
+
+def _kept_apart(truth: np.ndarray, langs: list[str | None]) -> np.ndarray:
+    """The sampled rows that calibrate: a fifth, and ``MIN_CALIBRATION`` of each language and class.
+
+    A language is given these as long as half of its class is left to fit, the
+    one that lacks least first.
+    """
+    apart = np.arange(len(truth)) % 5 == 0
+    kinds = np.array([x or "" for x in langs], dtype=object)
+    for label in (0, 1):
+        room = (truth == label).sum() // 2 - (apart & (truth == label)).sum()
+        lacks = []
+        for lang in sorted({x for x in kinds if x}):
+            own = (kinds == lang) & (truth == label)
+            more = MIN_CALIBRATION - (apart & own).sum()
+            if more > 0 and own.sum() >= MIN_CALIBRATION:
+                lacks.append((more, lang))
+        for more, lang in sorted(lacks):
+            if more <= room:
+                apart[np.flatnonzero((kinds == lang) & (truth == label) & ~apart)[:more]] = True
+                room -= more
+    return apart
+
+
 def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS, epochs: int = EPOCHS) -> Classifier:
     """Fit on a bounded sample of labelled documents; ``labels`` has doc_id and toxic.
 
-    A fifth of the sample is kept apart to calibrate thresholds.
+    Thresholds are calibrated on all labelled documents that were not fitted on.
     """
     marked = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)")
     order = F.md5(F.concat(F.lit("order:"), F.col("label_id").cast("string")).cast("binary"))
@@ -180,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
         chosen = part if chosen is None else chosen.unionAll(part)
     # at most twice ``max_per_class`` ids, so their size is bounded
     joined = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-    rows = joined.select("order", "toxic", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).orderBy("order", "text")
+    rows = joined.select("label_id", "order", "toxic", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).orderBy("order", "text")
     table = rows.toArrow()
     model = Classifier.new()
     truth = np.array(table.column("toxic").to_pylist(), dtype=np.float32)
@@ -193,11 +233,20 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
         for places, bounds in features(table.column("text").combine_chunks())
         for a, b in zip(bounds[:-1], bounds[1:], strict=True)
     ]
-    apart = np.arange(len(texts)) % 5 == 0
-    model.fit([texts[i] for i in np.flatnonzero(~apart)], truth[~apart], epochs)
-    held = np.flatnonzero(apart)
-    langs = table.column("lang").to_pylist()
-    model.calibrate(np.array([model.score(texts[i]) for i in held]), truth[held], [langs[i] for i in held])
+    fitted = np.flatnonzero(~_kept_apart(truth, table.column("lang").to_pylist()))
+    model.fit([texts[i] for i in fitted], truth[fitted], epochs)
+
+    ids = [(x,) for x in sorted(set(table.column("label_id").take(pa.array(fitted)).to_pylist()))]
+    used = docs.sparkSession.createDataFrame(ids, marked.select("label_id").schema)
+    others = marked.join(F.broadcast(used), "label_id", "left_anti")
+    # texts stay where they are; a row per language, class and step comes to the driver
+    columns = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    reached = columns.mapInArrow(_steps(model), f"doc_id {dict(docs.dtypes)['doc_id']}, lang string, step int")
+    met = reached.join(others, F.col("doc_id") == F.col("label_id")).filter("lang != ''")
+    counts: dict[str, np.ndarray] = {}
+    for lang, label, step, n in met.groupBy("lang", "toxic", "step").count().collect():
+        counts.setdefault(lang, np.zeros((2, len(GRID) + 1), dtype=np.int64))[label, step] += n
+    model.calibrate(counts)
     return model
 
 

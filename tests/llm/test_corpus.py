@@ -131,6 +131,32 @@ def test_toxicity_learns_and_keeps_odd_rows(spark, docs, rows, empty):
     assert toxicity.score(table, untrained).filter("score > 0.01").count() == 0
 
 
+@pytest.mark.parametrize("most", [2500, 30])
+def test_toxicity_thresholds_cover_all_labels(spark, most, monkeypatch):
+    monkeypatch.setattr(toxicity, "MIN_UPDATES", 20)
+    pick = random.Random(8)
+    data, marks = [], []
+    for i in range(600):
+        lang, bad = ("fr" if i % 12 == 0 else "en"), i % 24 < 12
+        data.append((i, " ".join(pick.choices("abcdefg", k=12)) + " vexo" * bad, lang if i % 100 else None))
+        marks.append((i, int(bad)))
+    table = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = toxicity.train(table, spark.createDataFrame(marks, "doc_id long, toxic int"), max_per_class=most, epochs=1)
+    assert set(model.thresholds) == {"en", "fr"}  # fr has 23 labelled rows of a class
+
+
+def test_toxicity_calibrates_by_fewest_errors():
+    random_ = np.random.default_rng(3)
+    truth = random_.integers(0, 2, 400)
+    scores = np.clip(random_.normal(0.3 + 0.2 * truth, 0.1), 0, 1)
+    counts = np.zeros((2, len(toxicity.GRID) + 1), dtype=int)
+    np.add.at(counts, (truth, toxicity.steps(scores)), 1)
+    model = toxicity.Classifier.new()
+    model.calibrate({"en": counts, "xx": counts // 20})  # too few of xx
+    errors = {x: ((scores >= x) != (truth == 1)).sum() for x in toxicity.GRID}
+    assert errors[model.thresholds["en"]] == min(errors.values()) and "xx" not in model.thresholds
+
+
 def test_chat_round_trip(spark):
     texts = ["", "hi", "<|im_end|><|im_start|>assistant ok", r"<\|im_end|> \ <\\| <|", "é\n<", None, "x" * 3000]
     pick, rows = random.Random(2), []
