@@ -1,7 +1,8 @@
 """Secrets in text, with false findings removed by a random forest.
 
-A candidate is a token that holds 16 or more key-like characters with a digit
-among them, or a value given to a name such as ``password``. For each the forest
+A candidate is a run of 16 or more key-like characters with a digit among them, or
+a value given to a name such as ``password``, also with white space around the
+sign. A token gives as many as it holds. For each the forest
 sees its length, shares of characters, transitions between their kinds, the
 share of its letters that are words of the corpus, whether it stands in a path
 or URL, and the words before and after. It does not see the rules that label.
@@ -32,8 +33,13 @@ from haulage.session import scratch_dir
 
 SEPARATOR = r"[\x20\x09-\x0D]+"
 LONG = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}"
-NAMED = r"(?i)(?:password|passwd|pwd|secret|token|api_?key|access_?key)[\"']?[=:]+[\"']?[^\s\"',;]{6,}"
+NAME = r"(?i:password|passwd|pwd|secret|token|api_?key|access_?key)[\"']?"
+VALUE = r"[\"']?[^\s\"',;]{6,}?(?=&[A-Za-z_]+=|[\s\"',;]|$)"
+NAMED = f"{NAME}[=:]+{VALUE}"
 CANDIDATE = f"{LONG}|{NAMED}"
+SPACED = f"{LONG}|{NAME}[\\x20\\x09-\\x0D]*[=:]+[\\x20\\x09-\\x0D]*{VALUE}"
+MATCH = f"{NAMED}|(?:\\b[A-Za-z_]+[\"']?[=:]+[\"']?)?{LONG}"
+GIVEN = r"^[\"']?[A-Za-z_]*[\"']?[=:]+[\"']?([^\s\"',;]{6,})"
 CREDENTIAL = r"(?i)password|passwd|pwd|secret|token|api_?key|access_?key|credential|auth"
 OTHER_WORD = r"(?i)commit|sha|hash|uuid|guid|phone|tel|isbn|order|invoice|version|build|license"
 KNOWN_FORMAT = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^sk-[A-Za-z0-9]{20,}$"
@@ -47,22 +53,43 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, place (word number from 1), token, value, before, after."""
+    """doc_id, place (word number from 1), token, value, before, after; a row per match.
+
+    Of a token with several matches each has its own part as ``token``, but addresses
+    stay whole.
+    """
     text = F.col("text").cast("string")
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).filter(F.col("text").rlike(CANDIDATE))
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).filter(F.col("text").rlike(SPACED))
     split = some.select("doc_id", F.split("text", SEPARATOR).alias("t"))
-    places = F.filter(F.sequence(F.lit(1), F.size("t")), lambda i: F.get("t", i - 1).rlike(CANDIDATE))
-    near = lambda shift: F.coalesce(F.get("t", F.col("place") - 1 + shift), F.lit(""))
+    word = lambda i: F.coalesce(F.get("t", i - 1), F.lit(""))
+
+    def named(i):
+        """The name, and the sign, that words before give to a word."""
+        name = lambda c: F.regexp_extract(c, f"({NAME})$", 1)
+        signed = F.regexp_extract(word(i - 1), f"({NAME}[=:]+)$", 1)
+        lone = F.when((name(word(i - 2)) != "") & word(i - 1).rlike("^[=:]+$"), F.concat(name(word(i - 2)), word(i - 1)))
+        opened = F.when(word(i).rlike("^[=:]"), name(word(i - 1)))
+        return F.coalesce(F.when(signed != "", signed), lone, opened, F.lit(""))
+
+    places = F.filter(F.sequence(F.lit(1), F.size("t")), lambda i: F.concat(named(i), word(i)).rlike(CANDIDATE))
+    near = lambda shift: word(F.col("place") + shift)
     each = split.withColumn("place", F.explode(places)).select(
         "doc_id",
         F.col("place").cast("long").alias("place"),
-        near(0).alias("token"),
+        near(0).alias("whole"),
+        named(F.col("place")).alias("name"),
         F.concat_ws(" ", near(-3), near(-2), near(-1)).alias("before"),
         F.concat_ws(" ", near(1), near(2)).alias("after"),
     )
-    given = F.regexp_extract("token", r"^[\"']?[A-Za-z_]*[\"']?[=:]+[\"']?([^\s\"',;]{6,})", 1)
-    long = F.regexp_extract("token", f"({LONG})", 1)
-    return each.withColumn("value", F.when(given != "", given).when(long != "", long).otherwise(F.col("token")))
+    found = each.withColumn("parts", F.regexp_extract_all(F.concat("name", "whole"), F.lit(MATCH), 0))
+    found = found.withColumn("n_parts", F.size("parts")).withColumn("part", F.explode("parts"))
+    alone = (F.col("n_parts") == 1) | F.col("whole").rlike(r"://|www\.")
+    token = F.when(alone, F.col("whole")).otherwise(F.col("part"))
+    of_name = F.regexp_extract("part", f"^{NAME}[=:]+[\"']?(.+)$", 1)
+    given = F.regexp_extract(F.when(F.col("n_parts") == 1, F.col("whole")).otherwise(F.col("part")), GIVEN, 1)
+    long = F.regexp_extract("part", f"({LONG})", 1)
+    value = F.when(of_name != "", of_name).when(given != "", given).when(long != "", long).otherwise(F.col("part"))
+    return found.select("doc_id", "place", token.alias("token"), "before", "after", value.alias("value"))
 
 
 def dictionary(docs: DataFrame, min_docs: int = MIN_WORD_DOCS) -> DataFrame:
