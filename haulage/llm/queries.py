@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulage.llm import chat, leaks, minhash, mixing, passages, quality, secrets, tokens, toxicity, weighted
+from haulage.llm import chat, leaks, minhash, mixing, negatives, passages, quality, repair, secrets, suffixes, tokens, toxicity, weighted
 from haulage.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,45 @@ def op9_weighted(spark, sf_dir):
 @registered()
 def op10_secrets(spark, sf_dir):
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+NEGATIVES = """
+WITH clean AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1] * z[2], 0))), 0) AS BIGINT) AS score
+  FROM clean a JOIN clean b ON a.vec_id IS DISTINCT FROM b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INT) AS rank, s.id AS negative_id,
+       p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s
+  ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id NULLS LAST)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
+@registered(NEGATIVES)
+def op11_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False))
+    label = F.when(moved, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label), F.col("id") % 100 == 0)
+
+
+@registered()
+def op12_repair(spark, sf_dir):
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@registered()
+def op13_suffixes(spark, sf_dir):
+    return suffixes.remove_repeated(table(spark, sf_dir, "documents"))
