@@ -41,18 +41,22 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--source-table", default=f"dbo.{customer.SOURCE_TABLE}")
     sub.add_argument("--staging-table", default=customer.STAGING_TABLE)
     sub.add_argument("--csv", choices=DIALECTS, default="lossless")
+    sub.add_argument("--schema", help="column types of the staging table; default: all text")
 
     sub = command("replicate", run_replicate, "copy tables between databases")
     sub.add_argument("tables", nargs="+")
     sub.add_argument("--schema", default="dbo")
     sub.add_argument("--prefix", default=replicate.TARGET_PREFIX)
     sub.add_argument("--at-once", type=int, default=4)
+    sub.add_argument("--counts-only", action="store_true", help="compare row counts, not rows")
 
     sub = command("csv-to-parquet", run_parquet_copy, "convert a CSV and check the copy")
     sub.add_argument("csv")
     sub.add_argument("parquet")
     sub.add_argument("--schema", help="column types, e.g. 'day date, n int'; default: inferred")
     sub.add_argument("--csv-dialect", choices=DIALECTS, default="plain")
+    sub.add_argument("--max-bad-share", type=float, help="put bad rows apart, up to this share; needs --schema")
+    sub.add_argument("--required", nargs="*", default=[], help="columns that a good row has")
 
     sub = command("stage-csv", run_staging, "replace a catalog table by a folder of CSV files")
     sub.add_argument("folder")
@@ -61,15 +65,19 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--no-properties", action="store_true")
     sub.add_argument("--csv-dialect", choices=DIALECTS, default="plain")
     sub.add_argument("--keep-previous-files", action="store_true")
+    sub.add_argument("--by-name", action="store_true", help="files with unlike headers, matched by column name")
 
     sub = command("race-results", run_races, "flatten race documents into their load date")
     sub.add_argument("documents")
     sub.add_argument("output")
     sub.add_argument("--run-date", required=True)
+    sub.add_argument("--json-lines", action="store_true", help="a document per line, not per file")
 
     sub = command("image-manifest", run_launches, "list the image files of launch documents")
     sub.add_argument("documents")
     sub.add_argument("output")
+    sub.add_argument("--json-lines", action="store_true", help="a document per line, not per file")
+    sub.add_argument("--this-run-only", action="store_true", help="leave earlier runs' files out")
     return top
 
 
@@ -84,6 +92,7 @@ def run_customer(spark, args):
         args.source_table,
         args.staging_table,
         dialect,
+        args.schema,
     )
 
 
@@ -96,6 +105,7 @@ def run_replicate(spark, args):
         args.schema,
         args.prefix,
         at_once=args.at_once,
+        content=not args.counts_only,
     ).collect()
     for row in report:
         print(*["-" if value is None else value for value in row], sep="\t")
@@ -107,6 +117,13 @@ def run_replicate(spark, args):
 
 def run_parquet_copy(spark, args):
     dialect = DIALECTS[args.csv_dialect]
+    if args.max_bad_share is not None:
+        if not args.schema:
+            raise ValueError("--max-bad-share needs --schema")
+        _, counts = parquet_copy.run_tolerant(
+            spark, args.csv, args.parquet, args.schema, args.required, args.max_bad_share, dialect
+        )
+        return f"{args.parquet}: {counts.good} good rows, {counts.bad} bad rows"
     copy = parquet_copy.run(spark, args.csv, args.parquet, args.schema, dialect)
     return f"{args.parquet}: {copy.schema.simpleString()}"
 
@@ -121,16 +138,17 @@ def run_staging(spark, args):
         properties,
         dialect=DIALECTS[args.csv_dialect],
         keep_previous_files=args.keep_previous_files,
+        by_name=args.by_name,
     )
     return f"{args.table}: {table.schema.simpleString()}"
 
 
 def run_races(spark, args):
-    return races.run(spark, args.documents, args.output, args.run_date)
+    return races.run(spark, args.documents, args.output, args.run_date, multi_line=not args.json_lines)
 
 
 def run_launches(spark, args):
-    return launches.run(spark, args.documents, args.output)
+    return launches.run(spark, args.documents, args.output, not args.json_lines, not args.this_run_only)
 
 
 def without_secrets(text: str) -> str:

@@ -18,6 +18,7 @@ from haulage.operators import (
     distinct_count,
     field_of_each,
     last_write_wins,
+    merge_latest,
     observed_metrics,
 )
 from haulage.schema import struct_of
@@ -42,6 +43,7 @@ class ManifestRun:
     files: int
     valid_urls: int
     invalid_urls: int
+    new_files: int = 0
 
 
 def list_images(documents: DataFrame, document: str | Column) -> DataFrame:
@@ -88,13 +90,16 @@ def run(
     documents_path: str,
     output_path: str,
     multi_line: bool = True,
+    keep_earlier: bool = True,
 ) -> ManifestRun:
     """Write the listing of all URLs and the manifest below ``output_path``.
 
     The documents are parsed once, into ``listing``, split by ``valid``; the
     manifest is taken from its valid part. Documents are ordered by their path and,
-    in JSON Lines, by their place in the file. Listing and manifest of an earlier
-    run are replaced together, and stay if this run fails.
+    in JSON Lines, by their place in the file. The files of earlier runs stay in the manifest, as
+    they do in the folder it describes; one that this run names again gets its URL. Without
+    ``keep_earlier`` the manifest holds this run's files only. Listing and manifest of an
+    earlier run are replaced together, and stay if this run fails.
     """
     documents = assert_ready(read_json_documents(spark, documents_path, DOCUMENT, multi_line))
     # One task reads a block from its start, so row numbers grow along the block.
@@ -112,5 +117,10 @@ def run(
                 [F.count_if(valid).alias("valid"), F.count_if(~valid).alias("invalid")],
             )
         images = spark.read.schema(LISTING).parquet(listing)
-        files = write_parquet(manifest(images), chosen)
-    return ManifestRun(files.rows, counts["valid"], counts["invalid"])
+        files, known = manifest(images), 0
+        if keep_earlier and storage.exists(spark, f"{base}/manifest"):
+            earlier = spark.read.schema(files.schema).parquet(f"{base}/manifest")
+            known = earlier.count()  # read from the files' footers
+            files = merge_latest(earlier, files, ["name"])
+        held = write_parquet(files, chosen)
+    return ManifestRun(held.rows, counts["valid"], counts["invalid"], held.rows - known)

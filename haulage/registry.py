@@ -10,7 +10,8 @@ nulls, the entry and its SQL make the same ones.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -30,6 +31,7 @@ from haulage.functions import (
 )
 from haulage.operators import (
     assert_ready,
+    differences,
     enforce_required,
     fingerprint,
     keep_in,
@@ -37,18 +39,24 @@ from haulage.operators import (
     missing_counts,
     preview,
     row_count,
+    schema_differences,
     with_constants,
 )
 from haulage.plans import customer, launches, parquet_copy, races, replicate, staging
 from haulage.schema import struct_of
-from haulage.session import catalog_settings, scratch_dir, session_dir
+from haulage.session import scratch_dir, session_dir
 from haulage.sinks import (
+    bad_rows,
     create_namespace,
     drop_load_date,
     drop_table_load_date,
     drop_tables,
+    good_rows,
+    jdbc_catalog,
+    load_table,
     replace_load_dates,
     replace_table,
+    write_apart,
     write_csv,
     write_parquet,
     write_table,
@@ -57,11 +65,16 @@ from haulage.sources import (
     LOSSLESS,
     Split,
     count_rows,
+    landed_by_date,
     query_catalog,
     read_catalog_table,
     read_csv,
+    read_csv_by_name,
     read_csv_folder,
+    read_csv_inferred,
     read_json_documents,
+    read_csv_tolerant,
+    read_json_tolerant,
     read_load_dates,
     read_parquet,
     read_query,
@@ -325,6 +338,57 @@ def replicate_tables(spark, sf_dir):
         drop_tables(spark, target, [prefix + key for key in names])
 
 
+@registered(
+    """SELECT 'after a failed load' AS step, s_suppkey, s_name, s_acctbal FROM supplier
+       UNION ALL SELECT 'after the load', s_suppkey, 'new ' || s_name, s_acctbal FROM supplier
+       WHERE s_nationkey <> 3"""
+)
+def jdbc_swap(spark, sf_dir):
+    # A load that breaks in the database, after rows went in, leaves the old rows readable.
+    database, name = working_endpoint(spark, "target"), new_table("supplier")
+    suppliers = open_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    renamed = suppliers.withColumn("s_name", F.concat(F.lit("new "), "s_name"))
+    too_long = F.when(F.col("s_suppkey") % 2 == 0, F.repeat("s_name", 20)).otherwise(F.col("s_name"))
+    try:
+        load_table(suppliers, database, name)
+        try:
+            load_table(renamed.withColumn("s_name", too_long), database, name, createTableColumnTypes="s_name VARCHAR(60)", batch_rows=1)
+            raise RuntimeError("the database took texts that are too long")
+        except Exception as failure:
+            if "took texts" in str(failure):
+                raise
+        steps = [("after a failed load", landed(read_table(spark, database, name)))]
+        load_table(renamed.filter("s_nationkey <> 3"), database, name, content=True)
+        steps.append(("after the load", landed(read_table(spark, database, name))))
+    finally:
+        drop_tables(spark, database, [name])
+    parts = [df.select(F.lit(step).alias("step"), "s_suppkey", "s_name", "s_acctbal") for step, df in steps]
+    return parts[0].unionByName(parts[1])
+
+
+@registered(
+    """SELECT 'missing' AS difference, 1::BIGINT AS times, o_orderkey, o_totalprice FROM orders
+       WHERE o_orderkey % 97 = 0
+       UNION ALL SELECT 'extra', 2, -o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 89 = 1
+       UNION ALL SELECT 'changed_from', 1, o_orderkey, o_totalprice FROM orders
+       WHERE o_orderkey % 83 = 2 AND o_orderkey % 97 <> 0
+       UNION ALL SELECT 'changed_to', 1, o_orderkey, o_totalprice + 1 FROM orders
+       WHERE o_orderkey % 83 = 2 AND o_orderkey % 97 <> 0
+       UNION ALL SELECT 'extra', 1, o_orderkey, o_totalprice FROM orders
+       WHERE o_orderkey % 79 = 3 AND o_orderkey % 97 <> 0 AND o_orderkey % 83 <> 2"""
+)
+def reconcile_rows(spark, sf_dir):
+    # Planted: rows that are gone, strange, changed, or there once too often.
+    orders = open_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    key = F.col("o_orderkey")
+    changed = F.when(key % 83 == 2, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    found = orders.filter(key % 97 != 0).withColumn("o_totalprice", changed)
+    strange = orders.filter(key % 89 == 1).withColumn("o_orderkey", -key)
+    doubled = orders.filter((key % 79 == 3) & (key % 97 != 0) & (key % 83 != 2))
+    found = reduce(DataFrame.unionByName, [found, strange, strange, doubled])
+    return differences(landed(orders), landed(found), ["o_orderkey"])
+
+
 # --- CSV and Parquet files ---------------------------------------------------
 
 
@@ -350,6 +414,86 @@ def csv_scan_inferred(spark, sf_dir):
     return with_constants(read, inferred=",".join(types)).withColumn("c_since", day_text("c_since"))
 
 
+@registered(
+    f"""SELECT c_custkey::INT AS c_custkey, c_name, c_nationkey::INT AS c_nationkey,
+               c_acctbal::DOUBLE AS c_acctbal, c_mktsegment,
+               strftime(DATE '1950-01-01' + c_nationkey * 365, '%Y-%m-%d') AS c_since,
+               'int,double,date' AS inferred FROM customer"""
+)
+def csv_inferred_once(spark, sf_dir):
+    since = F.date_add(F.lit("1950-01-01").cast("date"), F.col("c_nationkey") * 365)
+    path = scratch_dir(spark, "csv")
+    write_csv(open_table(spark, sf_dir, "customer").withColumn("c_since", since), path)
+    read = read_csv_inferred(spark, path)
+    types = [read.schema[c].dataType.simpleString() for c in ("c_custkey", "c_acctbal", "c_since")]
+    return with_constants(read, inferred=",".join(types)).withColumn("c_since", day_text("c_since"))
+
+
+@registered(
+    """SELECT s_suppkey, CASE WHEN s_suppkey % 3 < 2 THEN s_name END AS s_name, s_acctbal,
+              CASE WHEN s_suppkey % 3 = 1 THEN s_nationkey::VARCHAR END AS s_nationkey FROM supplier"""
+)
+def csv_by_name(spark, sf_dir):
+    # Three kinds of files in one folder: another order, one column more, one column less.
+    suppliers = open_table(spark, sf_dir, "supplier")
+    headers = [("s_suppkey", "s_name", "s_acctbal"), ("s_nationkey", "s_acctbal", "s_name", "s_suppkey"), ("s_suppkey", "s_acctbal")]
+    folder = scratch_dir(spark, "csv")
+    for i, columns in enumerate(headers):
+        write_csv(suppliers.filter(F.col("s_suppkey") % 3 == i).select(*columns), f"{folder}/part={i}")
+    schema = "s_suppkey long, s_name string, s_acctbal double"
+    return read_csv_by_name(spark, folder, schema, pattern="*/*.csv")
+
+
+@registered(
+    """SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 OR p_partkey % 53 = 1 THEN 'malformed'
+              WHEN p_partkey % 59 = 2 THEN 'missing p_brand' END AS reason,
+              CASE WHEN p_partkey % 50 <> 0 AND p_partkey % 53 <> 1 THEN p_size END AS p_size,
+              CASE WHEN p_partkey % 50 = 0 THEN p_partkey || ',' || p_brand || ',many'
+              WHEN p_partkey % 53 = 1 THEN p_partkey || ',' || p_brand || ',' || p_size || ',more' END AS bad_row
+       FROM part"""
+)
+def csv_quarantine(spark, sf_dir):
+    # Planted: sizes that are no numbers, rows with a value too many, rows without a brand.
+    key, columns = F.col("p_partkey"), [F.col("p_brand"), F.col("p_size").cast("string")]
+    brand = F.when((key % 59 == 2) & (key % 50 != 0) & (key % 53 != 1), F.lit("")).otherwise(columns[0])
+    size = F.when(key % 50 == 0, F.lit("many")).otherwise(columns[1])
+    more = F.when((key % 53 == 1) & (key % 50 != 0), F.lit(",more")).otherwise(F.lit(""))
+    part = open_table(spark, sf_dir, "part")
+    path, apart = scratch_dir(spark, "csv"), scratch_dir(spark, "apart")
+    lines = part.select(F.concat(F.concat_ws(",", key.cast("string"), brand, size), more).alias("value"))
+    lines.write.text(path)
+    schema = T.StructType.fromDDL("p_partkey long, p_brand string, p_size int")
+    read = read_csv_tolerant(spark, path, schema, header="false")
+    write_apart(read, apart, required=["p_partkey", "p_brand"], max_bad_share=0.1)
+    good = good_rows(spark, apart, schema).select("p_partkey", F.lit(None).cast("string").alias("reason"), "p_size", F.lit(None).cast("string").alias("bad_row"))
+    bad = bad_rows(spark, apart, schema)
+    number = F.substring_index("_bad_row", ",", 1).cast("long")
+    bad = bad.select(
+        F.coalesce(number, "p_partkey").alias("p_partkey"), F.col("_reason").alias("reason"),
+        F.when(F.col("_reason") != "malformed", F.col("p_size")).alias("p_size"), F.col("_bad_row").alias("bad_row"),
+    )
+    return good.unionByName(bad)
+
+
+@registered(
+    """SELECT event_id, CASE WHEN event_id % 40 = 0 THEN 'malformed' END AS reason,
+              CASE WHEN event_id % 40 <> 0 THEN event_type END AS event_type FROM events"""
+)
+def json_quarantine(spark, sf_dir):
+    # Planted: lines that are cut off, whose numbers are found in their text.
+    events = open_table(spark, sf_dir, "events")
+    whole = F.to_json(F.struct("event_id", "event_type"))
+    path, apart = scratch_dir(spark, "json"), scratch_dir(spark, "apart")
+    cut = F.when(F.col("event_id") % 40 == 0, F.substring_index(whole, "}", 1)).otherwise(whole)
+    events.select(cut.alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("event_id long, event_type string")
+    write_apart(read_json_tolerant(spark, path, schema), apart, max_bad_share=0.05)
+    good = good_rows(spark, apart, schema).select("event_id", F.lit(None).cast("string").alias("reason"), "event_type")
+    bad = bad_rows(spark, apart, schema)
+    number = F.regexp_extract("_bad_row", r'"event_id":(\d+)', 1).cast("long")
+    return good.unionByName(bad.select(number.alias("event_id"), F.col("_reason").alias("reason"), F.lit(None).cast("string").alias("event_type")))
+
+
 @registered(
     """SELECT s_suppkey::INT AS s_suppkey, s_name, s_nationkey::INT AS s_nationkey, s_acctbal
        FROM supplier"""
@@ -519,6 +663,27 @@ def image_manifest(spark, sf_dir):
     return read_parquet(spark, f"{output}/manifest").select("name", "url")
 
 
+@registered(
+    """SELECT split_part(url, '/', -1) AS name,
+              max_by(CASE WHEN page_id % 3 = 0 THEN 'http://second/' || split_part(url, '/', -1) ELSE url END,
+                     CASE WHEN page_id % 3 = 0 THEN 1000000000000 ELSE 0 END + page_id) AS url
+       FROM pages WHERE regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://') AND split_part(url, '/', -1) <> ''
+       GROUP BY ALL"""
+)
+def manifest_over_runs(spark, sf_dir):
+    # Two runs: the second names the files of a third of the pages again, at another place.
+    output = scratch_dir(spark, "manifest")
+    pages = open_table(spark, sf_dir, "pages")
+    again = pages.filter("page_id % 3 = 0").withColumn("url", F.concat(F.lit("http://second/"), last_segment("url")))
+    for rows in (pages, again):
+        path = scratch_dir(spark, "launches")
+        documents = rows.select("page_id", F.array(F.struct(F.col("url").alias("image"))).alias("results"))
+        ordered = documents.repartitionByRange("page_id").sortWithinPartitions("page_id")
+        ordered.write.option("ignoreNullFields", "false").json(path)
+        launches.run(spark, path, output, multi_line=False)
+    return read_parquet(spark, f"{output}/manifest").select("name", "url")
+
+
 @registered("SELECT count(DISTINCT NULLIF(split_part(url, '/', -1), '')) AS files FROM pages")
 def distinct_files(spark, sf_dir):
     return launches.file_count(page_images(spark, sf_dir))
@@ -596,6 +761,22 @@ def dated_overwrite(spark, sf_dir):
     return read_load_dates(spark, path, DATED)
 
 
+@registered(
+    f"""SELECT load_date, count(*) AS rows, 1::BIGINT AS files, min(size) + 1 <= sum(size + 1) AS sized,
+               CAST(sum(size + 1) AS BIGINT) AS bytes, CAST(sum(size + 1) AS BIGINT) AS smallest
+        FROM (SELECT load_date, strlen('{{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}}') AS size
+              FROM ({DATED_SQL})) GROUP BY load_date"""
+)
+def landed_files_by_date(spark, sf_dir):
+    # One file per date; its size is that of its lines. No file is opened to tell.
+    path = scratch_dir(spark, "dated")
+    orders = dated_orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", "load_date").coalesce(1)
+    replace_load_dates(orders, path)
+    files = landed_by_date(spark, path).drop("latest")
+    counted = orders.groupBy("load_date").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(files, "load_date").withColumn("sized", F.col("smallest") <= F.col("bytes"))
+
+
 @registered(f"SELECT * FROM ({DATED_SQL}) WHERE load_date <> '19980101'")
 def drop_dated_files(spark, sf_dir):
     path = scratch_dir(spark, "dated")
@@ -644,19 +825,34 @@ def catalog_replace(spark, sf_dir):
     )
 
 
+@contextmanager
+def own_catalog_table(spark: SparkSession, name: str) -> Iterator[str]:
+    """A table name of its own in a catalog that replaces tables itself, dropped at the end."""
+    with jdbc_catalog(spark, working_endpoint(spark, "lakehouse")) as catalog:
+        create_namespace(spark, f"{catalog}.haulage_staging")  # stays: not every database drops one
+        table = f"{catalog}.haulage_staging.{new_table(name)}"
+        try:
+            yield table
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 @registered("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def catalog_replace_own(spark, sf_dir):
-    # A catalog that replaces tables itself: Spark's JDBC catalog.
-    database = working_endpoint(spark, "lakehouse")
-    implementation = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
-    settings = catalog_settings("haulage_demo", implementation, **database.options())
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    create_namespace(spark, "haulage_demo.staging")
     suppliers = open_table(spark, sf_dir, "supplier")
-    replace_table(suppliers.select("s_suppkey", "s_name"), "haulage_demo.staging.suppliers")
-    replace_table(suppliers, "haulage_demo.staging.suppliers")
-    return read_catalog_table(spark, "haulage_demo.staging.suppliers")
+    with own_catalog_table(spark, "suppliers") as table:
+        replace_table(suppliers.select("s_suppkey", "s_name"), table)
+        replace_table(suppliers, table)
+        return landed(read_catalog_table(spark, table))
+
+
+@registered(f"SELECT * FROM ({DATED_SQL}) WHERE load_date <> '19980101'")
+def drop_load_date_own(spark, sf_dir):
+    # A catalog without row deletes: the other dates are copied and replace the table.
+    with own_catalog_table(spark, "orders") as table:
+        replace_table(dated_orders(spark, sf_dir), table)
+        drop_table_load_date(spark, table, "19980101")
+        return landed(read_catalog_table(spark, table))
 
 
 # --- single steps ------------------------------------------------------------
@@ -751,6 +947,15 @@ def required_fields(spark, sf_dir):
     )
 
 
+@registered(
+    """SELECT count(*) AS rows, 'p_size: int instead of bigint; p_weight: missing' AS differences FROM part"""
+)
+def schema_report(spark, sf_dir):
+    part = open_table(spark, sf_dir, "part")
+    expected = struct_of(p_partkey=T.LongType(), p_size=T.LongType(), p_weight=T.DoubleType())
+    return with_constants(row_count(part), differences="; ".join(schema_differences(part.schema, expected)))
+
+
 @registered("SELECT * FROM part")
 def required_columns(spark, sf_dir):
     part = open_table(spark, sf_dir, "part")

@@ -10,19 +10,26 @@ from haulage.sinks.files import (
     write_csv,
     write_parquet,
 )
-from haulage.sinks.jdbc import drop_tables, load_table, write_table
+from haulage.sinks.quarantine import Quarantine, bad_rows, good_rows, write_apart
+from haulage.sinks.jdbc import drop_tables, jdbc_catalog, load_table, swap_tables, write_table
 
 __all__ = [
+    "Quarantine",
     "as_csv_text",
+    "bad_rows",
     "create_namespace",
     "dated_path",
     "drop_load_date",
     "drop_table_load_date",
     "drop_tables",
+    "good_rows",
+    "jdbc_catalog",
     "load_table",
     "open_writers",
     "replace_load_dates",
     "replace_table",
+    "swap_tables",
+    "write_apart",
     "write_csv",
     "write_parquet",
     "write_table",

@@ -11,7 +11,7 @@ from haulage import storage
 from haulage.functions.dates import as_date_text
 from haulage.operators.checks import Fingerprint, observed_metrics, observed_write
 from haulage.session import session_setting
-from haulage.sources.files import CsvDialect, MICROSECONDS, PLAIN
+from haulage.sources.files import CsvDialect, MICROSECONDS, PLAIN, encoded
 
 # Partition values one task writes side by side before Spark sorts the rest.
 OPEN_FILES_PER_TASK = 16
@@ -52,7 +52,7 @@ def write_csv(
     text = as_csv_text(df) if checksum else df
     with storage.replacing(df.sparkSession, path) as (new,):
         return observed_write(
-            text, lambda out: out.write.options(**dialect.writing()).csv(new), checksum
+            text, lambda out: encoded(out, dialect).write.options(**dialect.writing()).csv(new), checksum
         )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -34,6 +35,27 @@ def make_until_exit(spark: SparkSession, path: str) -> None:
         fs.deleteOnExit(hadoop_path)
 
 
+def first_lines(spark: SparkSession, pattern: str, at_once: int = 32) -> list[tuple[str, str | None]]:
+    """(path, first line) of the files that match; None for an empty file.
+
+    As with a listing, the driver opens the files itself, several at a time.
+    """
+    fs, hadoop_path = _resolve(spark, pattern)
+    found = fs.globStatus(hadoop_path)
+    paths = sorted(f.getPath().toString() for f in found or [] if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+
+    def first(path: str) -> tuple[str, str | None]:
+        stream = fs.open(_resolve(spark, path)[1])
+        try:
+            reader = spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
+            return path, spark._jvm.java.io.BufferedReader(reader).readLine()
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(first, paths))
+
+
 @contextmanager
 def replacing(spark: SparkSession, *paths: str) -> Iterator[list[str]]:
     """Where to write what shall replace the folders ``paths``.

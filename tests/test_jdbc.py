@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from haulage.plans import customer, replicate
 from haulage.session import scratch_dir, session_setting
-from haulage.sinks import load_table, write_table
+from haulage.sinks import load_table, swap_tables, write_table
 from haulage.sources import (
     Bounds,
     Endpoint,
@@ -254,7 +254,10 @@ def test_replicate_reports_each_table(spark):
         assert found["FILLED"][1:4] == ("loaded", 100, 100)
         assert found["VOID"][1:4] == ("loaded", 0, 0)
         assert found["NOWHERE"].status == "missing"
-        assert found["HELD"].status == "failed" and found["HELD"].error
+        assert found["HELD"].status == "failed" and "refer to it" in found["HELD"].error
+        assert count_rows(spark, target, "src_HELD") == 0 and count_rows(spark, target, "refers") == 0
+        left = [name for (name,) in tables_of(spark, target) if name.startswith("HAULAGE")]
+        assert not left
         assert "memory:" not in found["HELD"].error
     assert rows(read_table(spark, target, "src_FILLED")) == rows(read_table(spark, source, "FILLED"))
 
@@ -361,6 +364,116 @@ def execute(spark, endpoint, sql):
     finally:
         connection.close()
 
+# --- swap and content ---
+
+
+@pytest.mark.parametrize("quoted_name", [False, True])
+def test_load_that_breaks_in_the_database_leaves_old_rows(spark, database, table, quoted_name):
+    name = f'"mixed-Case {table}"' if quoted_name else f"mixed_{table}"
+    old = spark.range(5).select("id", F.lit("old").alias("v"))
+    assert load_table(old, database, name) == 5
+    bad = spark.range(100).select("id", F.when(F.col("id") < 99, "new").otherwise("much too long").alias("v")).coalesce(1)
+    before = tables_of(spark, database)
+    with pytest.raises(Exception, match="22001|too long|truncat"):
+        load_table(bad, database, name, createTableColumnTypes="v VARCHAR(5)", batch_rows=10)
+    assert rows(read_table(spark, database, name)) == rows(old)
+    assert tables_of(spark, database) == before  # nothing is left beside it
+    assert load_table(bad.limit(50), database, name, content=True) == 50
+    assert count_rows(spark, database, name) == 50
+    assert tables_of(spark, database) == before
+
+
+def tables_of(spark, database):
+    found = read_query(spark, database, "SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T'")
+    return rows(found)
+
+
+def test_load_into_another_schema(spark, database, table):
+    execute(spark, database, f'CREATE SCHEMA "s {table}"')
+    name = f'"s {table}".t'
+    for n in (3, 4):
+        assert load_table(spark.range(n), database, name, content=True) == n
+    assert count_rows(spark, database, name) == 4
+
+
+def test_failed_second_rename_takes_the_first_back(spark, database, table, monkeypatch):
+    load_table(spark.range(5), database, table)
+    write_table(spark.range(9), database, f"{table}_new")
+    with pytest.raises(Exception):
+        swap_tables(spark, database, f"{table}_nowhere", table)
+    assert count_rows(spark, database, table) == 5
+    swap_tables(spark, database, f"{table}_new", table)
+    assert count_rows(spark, database, table) == 9
+
+
+def test_truncating_load_keeps_the_definition(spark, database, table):
+    write_table(spark.range(5), database, table, createTableColumnTypes="id DECIMAL(9, 0)")
+    assert load_table(spark.range(3), database, table, truncate=True) == 3
+    assert read_table(spark, database, table).dtypes == [("id", "decimal(9,0)")]
+
+
+def test_wrong_content_is_an_error(spark, database, table):
+    load_table(spark.range(5).select("id", F.lit("keep").alias("v")), database, table)
+    wide = spark.range(5).select("id", (F.col("id") / 3).cast("decimal(20,10)").alias("v"))
+    with pytest.raises(Exception, match="3 rows are missing or different, 3 are not expected"):
+        load_table(wide, database, table, content=True, createTableColumnTypes="v DECIMAL(9, 2)")
+    assert rows(read_table(spark, database, table).select("v")) == [("keep",)] * 5
+
+
+def test_replication_reports_wrong_content(spark, monkeypatch):
+    source = working_endpoint(spark, f"from-{uuid.uuid4().hex}")
+    target = working_endpoint(spark, f"to-{uuid.uuid4().hex}")
+    write_table(spark.range(10), source, "GOOD")
+    import haulage.sinks.jdbc as sink
+
+    real = sink.write_table
+    monkeypatch.setattr(sink, "write_table", lambda df, *a, **k: real(df.withColumn("id", F.col("id") + 1), *a, **k))
+    report = replicate.run(spark, source, target, ["GOOD"], schema="APP").first()
+    assert report.status == "failed" and "10 rows" not in report.error and "rows are missing or different" in report.error
+    assert replicate.run(spark, source, target, ["GOOD"], schema="APP", content=False).first().status == "loaded"
+
+
+# --- splits that can't divide ---
+
+
+def test_a_round_without_progress_ends_with_a_warning(spark, database, table, monkeypatch, caplog):
+    write_table(spark.range(1000), database, table)
+    asked = []
+
+    def whole(self, parts, *_):
+        asked.append(len(parts))
+        assert len(asked) < 5, "no end"
+        return [(i, 0, 0, 999, part.rows) for i, part in enumerate(parts)]
+
+    monkeypatch.setattr("haulage.sources.jdbc._Counts.grouped", whole)
+    parts = split_predicates(spark, database, table, Split(("id",), 100))
+    assert parts == ['1 = 1 AND "id" IS NULL', '1 = 1 AND "id" IS NOT NULL'] and "can't be divided" in caplog.text
+
+
+def test_times_are_compared_not_subtracted(spark, database, table, monkeypatch):
+    micros = F.timestamp_micros(F.col("id")).cast("timestamp_ntz")
+    write_table(spark.range(2000).select(micros.alias("at"), F.lit("x").alias("v")), database, table)
+    asked = []
+
+    def watched(spark, endpoint, sql, *args, **options):
+        asked.append(sql)
+        return read_query(spark, endpoint, sql, *args, **options)
+
+    monkeypatch.setattr("haulage.sources.jdbc.read_query", watched)
+    sizes_target = Split(("at",), 100)
+    parts = split_predicates(spark, database, table, sizes_target)
+    monkeypatch.undo()
+    assert not any("TIMESTAMPDIFF" in sql for sql in asked) and len(asked) <= 5
+    sizes = partition_sizes(spark, database, table, sizes_target)
+    assert len(parts) >= 20 and sum(sizes) == 2000 and max(sizes) <= 125
+
+
+def test_times_at_the_end_of_time(spark, database, table):
+    far = F.when(F.col("id") < 500, F.lit("0001-01-01 00:00:00")).otherwise(F.lit("9999-12-31 23:59:59.999999")).cast("timestamp_ntz")
+    write_table(spark.range(1000).select(far.alias("at"), "id"), database, table)
+    sizes = partition_sizes(spark, database, table, Split(("at", "id"), 100))
+    assert sum(sizes) == 1000 and max(sizes) <= 125
+
 
 # --- customer dimension ---
 
