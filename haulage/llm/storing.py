@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from haulage.session import scratch_dir
+from haulage import storage
+from haulage.session import scratch_dir, session_setting
+
+#: Spark then deletes the shuffle files of a job when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table once below ``spark.checkpoint.dir`` and read it from there."""
+    """Write a table once below ``spark.checkpoint.dir`` and read it from there.
+
+    The shuffles behind it are deleted: later reads use the files.
+    """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with session_setting(df.sparkSession, CLEANUP, "true"):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        for path in {x.rpartition("/")[0] for x in table.inputFiles()}:
+            storage.remove(table.sparkSession, path)
+
+
 def with_columns_of(df: DataFrame, defaults: dict[str, str]) -> DataFrame:
     """The named columns of a table, cast to the given types; other columns go."""
     return df.select(*(df[name].cast(kind).alias(name) for name, kind in defaults.items()))

@@ -38,16 +38,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from haulage import storage
 from haulage.llm import words
-from haulage.llm.storing import stored
-from haulage.session import session_setting
+from haulage.llm.storing import dropped, stored
 
 WINDOW = 100
 GRAM = 32
 LOAD_BYTES = 1 << 22
 PART = 1 << 18
-MOST_FORMS = 4096
+MOST_FORMS = 1024
 PIECE = 1 << 20
 
 #: A perfect difference set, so its differences cover all remainders.
@@ -363,19 +361,6 @@ def _removed(window: int):
     return lambda batches: _gather(DONE, rows(batches))
 
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """Write a table and free the shuffles it came from."""
-    with session_setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        return stored(df, label)
-
-
-def _drop(*tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more."""
-    for table in tables:
-        for path in {x.rpartition("/")[0] for x in table.inputFiles()}:
-            storage.remove(table.sparkSession, path)
-
-
 def _late_in_hot(forms: DataFrame, window: int) -> DataFrame:
     """As ``LATE``, for buckets of any size: a row for each window, grouped by its bytes."""
     at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
@@ -384,7 +369,7 @@ def _late_in_hot(forms: DataFrame, window: int) -> DataFrame:
         F.substring("bytes", F.col("at").cast("int") + 1, F.lit(window)).alias("bytes"),
         F.struct(F.col("ordinal").alias("ordinal"), (F.col("place") + F.col("at")).alias("place")).alias("here"),
     )
-    least = _kept(each.groupBy("bytes").agg(F.min("here").alias("least"), F.count("*").alias("times")).filter("times > 1"), "first-windows")
+    least = stored(each.groupBy("bytes").agg(F.min("here").alias("least"), F.count("*").alias("times")).filter("times > 1"), "first-windows")
     late = each.join(least, "bytes").filter("here > least")
     return late.groupBy("gram", "form", "n").agg(F.collect_list("at").alias("late"))
 
@@ -392,7 +377,7 @@ def _late_in_hot(forms: DataFrame, window: int) -> DataFrame:
 def late_windows(forms: DataFrame, window: int = WINDOW, most_forms: int = MOST_FORMS) -> DataFrame:
     """gram, form, n, late (offsets): the windows of forms (``FORMS``) that stand in an earlier form too."""
     sizes = forms.groupBy("gram").agg(F.count("*").alias("forms"))
-    hot = _kept(sizes.filter(F.col("forms") > most_forms).select("gram"), "hot-buckets")
+    hot = stored(sizes.filter(F.col("forms") > most_forms).select("gram"), "hot-buckets")
     sorted_ = forms.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram")
     sorted_ = sorted_.select(*(x.split()[0] for x in FORMS.split(", "))).mapInArrow(_sorted_late(window, LOAD_BYTES, PART), LATE)
     return sorted_.unionAll(_late_in_hot(forms.join(hot, "gram"), window))
@@ -401,7 +386,7 @@ def late_windows(forms: DataFrame, window: int = WINDOW, most_forms: int = MOST_
 def remove_repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, most_forms: int = MOST_FORMS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    read = _kept(text.mapInArrow(_read(window, gram), READ), "suffix-buckets")
+    read = stored(text.mapInArrow(_read(window, gram), READ), "suffix-buckets")
     key = ["k1", "k2"]
 
     def texts_of(wanted: DataFrame, column: str) -> DataFrame:
@@ -412,11 +397,11 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, mos
 
     # texts in the order of their first documents
     rows = read.groupBy("doc_id", *key, "text_hash", "n_bytes", "sha256").agg(F.count("*").alias("rows"))
-    rows = _kept(rows, "rows")
+    rows = stored(rows, "rows")
     document = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "rows")
     texts = rows.groupBy(*key).agg(F.min(document).alias("first")).select(*key, "first.*")
     texts = texts.repartitionByRange("none", "doc_id", *key).sortWithinPartitions("none", "doc_id", *key)
-    texts = _kept(texts.select(*key, "doc_id", "text_hash", "rows", F.monotonically_increasing_id().alias("ordinal")), "texts")
+    texts = stored(texts.select(*key, "doc_id", "text_hash", "rows", F.monotonically_increasing_id().alias("ordinal")), "texts")
     repeated_rows = not texts.filter("rows > 1").isEmpty()
     texts = texts.drop("rows")
 
@@ -425,36 +410,36 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, mos
     more = read.select("k1", F.explode("twice").alias("gram"), F.lit(1).alias("more"))
     grams = one.unionAll(more)
     shared = grams.groupBy("gram").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.max("more").alias("more"))
-    shared = _kept(shared.filter("a != b OR more = 1").select("gram"), "shared-buckets")
+    shared = stored(shared.filter("a != b OR more = 1").select("gram"), "shared-buckets")
     firsts = read.join(texts.select(*key, F.col("doc_id").alias("one_id"), "ordinal"), key).filter(F.col("doc_id").eqNullSafe(F.col("one_id")))
     of_first = firsts.select("ordinal", F.explode(F.concat("grams", "twice")).alias("gram"))
     picks = of_first.join(shared, "gram").groupBy("ordinal").agg(F.collect_set("gram").alias("picks"))
-    picks = _kept(picks, "picks")
+    picks = stored(picks, "picks")
 
-    runs = _kept(texts_of(picks, "picks").mapInArrow(_runs(window, gram), RUNS), "runs")
-    _drop(picks, shared, read)
+    runs = stored(texts_of(picks, "picks").mapInArrow(_runs(window, gram), RUNS), "runs")
+    dropped(picks, shared, read)
     form = ["gram", "form", "n"]
     places = F.struct("ordinal", F.get("places", F.lit(0)).alias("place"))
     forms = runs.groupBy(*form).agg(F.min(places).alias("first"), F.sum(F.size("places")).alias("times"))
-    forms = _kept(forms.select(*form, "first.ordinal", "first.place", "times"), "forms")
-    several = _kept(forms.groupBy("gram").agg(F.count("*").alias("forms")).filter("forms > 1").select("gram"), "several")
+    forms = stored(forms.select(*form, "first.ordinal", "first.place", "times"), "forms")
+    several = stored(forms.groupBy("gram").agg(F.count("*").alias("forms")).filter("forms > 1").select("gram"), "several")
     firsts = forms.join(several, "gram", "left_semi").groupBy("ordinal").agg(F.collect_list(F.struct(*form, "place")).alias("forms"))
-    unlike = _kept(texts_of(firsts, "forms").mapInArrow(_form_bytes(window), FORMS), "unlike-forms")
-    late = _kept(late_windows(unlike, window, most_forms), "late-windows")
-    _drop(unlike, several)
+    unlike = stored(texts_of(firsts, "forms").mapInArrow(_form_bytes(window), FORMS), "unlike-forms")
+    late = stored(late_windows(unlike, window, most_forms), "late-windows")
+    dropped(unlike, several)
 
     # a form's own windows at its first place, all of them at any other
     judged = forms.withColumnsRenamed({"ordinal": "first_ordinal", "place": "first_place"}).join(late, form, "left")
-    judged = _kept(judged.filter("times > 1 OR late IS NOT NULL"), "judged")
+    judged = stored(judged.filter("times > 1 OR late IS NOT NULL"), "judged")
     every = runs.join(judged, form).select("ordinal", *form, F.explode("places").alias("place"), "first_ordinal", "first_place", "late")
     is_first = (F.col("ordinal") == F.col("first_ordinal")) & (F.col("place") == F.col("first_place"))
     every = every.filter(~is_first | F.col("late").isNotNull())
     every = every.groupBy("ordinal").agg(F.collect_list(F.struct("place", "n", F.when(is_first, F.col("late")).alias("late"))).alias("runs"))
-    changed = _kept(texts_of(every, "runs").mapInArrow(_removed(window), DONE), "removed")
-    _drop(runs, judged, forms, late)
+    changed = stored(texts_of(every, "runs").mapInArrow(_removed(window), DONE), "removed")
+    dropped(runs, judged, forms, late)
 
     # equal rows count as often as they stand; the first row of the first document is the text itself
-    result = _kept(texts.join(changed, "ordinal", "left").select(*key, F.col("doc_id").alias("one_id"), "n_removed", "n_spans", "kept_sha256"), "results")
+    result = stored(texts.join(changed, "ordinal", "left").select(*key, F.col("doc_id").alias("one_id"), "n_removed", "n_spans", "kept_sha256"), "results")
     rows = rows.join(result, key).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     copy = ~(F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("i") == 1))
     gone = copy & (F.col("n_bytes") >= window)
