@@ -14,7 +14,8 @@ place in the whole corpus.
 Defined results: null text is empty and gives the end id alone; null doc_id
 comes first; rows that share a doc_id stand together, ordered by a hash of the
 text, then the text; an empty table gives no segments; other columns are not
-read. Texts are tokenized whole; control strings in them are ordinary text.
+read. Texts are tokenized whole, as the tokenizer file says: a control string that it lists
+gives that token's id.
 """
 
 from __future__ import annotations
@@ -27,11 +28,13 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
 CACHED_PIECES = 300_000
+TEXTS_AT_ONCE = 512
 
 SEGMENT = (
     "shard int, segment int, segment_start long, n_ids long, bits int, block_offsets array<long>, "
@@ -99,7 +102,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -136,40 +138,65 @@ class Encoder:
         return dict(zip(".,", self._ids([".", ","]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """32-bit ids of each text, in this machine's byte order."""
+        """32-bit ids of each text, in this machine's byte order.
+
+        Arrow splits all texts and numbers their distinct pieces, so a piece is looked up once
+        however often it stands in them; numpy puts the ids of the pieces in order.
+        """
         if len(self.known) > CACHED_PIECES:
             self.known, self.older = {}, self.known
-        cut = [x.split(" ") for x in texts]
-        out = self._ids([parts[0] for parts in cut])
-        rest, missing = [], set()
-        for n, parts in enumerate(cut):
-            last = parts[0][-1:]
-            del parts[0]
-            found = list(map(self.known.get, parts))
-            gaps = [i for i, x in enumerate(found) if x is None]
-            new = [parts[i] for i in gaps]
-            # such pieces are never learned, so they are among the gaps
-            if parts and (last == "" or last.isspace() or any(map(_odd, new))):
-                whole = self._cut.split(texts[n])
-                out[n] = self._ids(whole[:1])[0]
-                cut[n] = parts = whole[1:]
-                found = list(map(self.known.get, parts))
-                gaps = [i for i, x in enumerate(found) if x is None]
-                new = [parts[i] for i in gaps if not _odd(parts[i])]
-                for i in gaps:
-                    if _odd(parts[i]):
-                        found[i] = self._ids([" " + parts[i]])[0]
-                gaps = [i for i in gaps if found[i] is None]
-            missing.update(new)
-            rest.append((found, gaps))
-        self._learn(missing)
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets = np.asarray(split.offsets)
+        pieces = split.flatten().dictionary_encode()
+        words, order = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype(np.int64)
+        heads = offsets[:-1]
+        first = [words[i] for i in order[heads].tolist()]
+        # from here on, a text's first piece is an entry of its own, odd if a space follows its end
+        order[heads] = len(words) + np.arange(len(texts))
+        followed = np.diff(offsets) > 1
+        odd = np.concatenate((pc.match_substring_regex(pieces.dictionary, _ODD_PIECE).to_numpy(zero_copy_only=False), followed & [_open(x) for x in first]))
+        odd_text = np.add.reduceat(odd[order].astype(np.int64), heads) > 0 if len(texts) else np.zeros(0, bool)
+        entries = list(map(self.known.get, words))
+        gaps = [i for i, ids in enumerate(entries) if ids is None]
+        self._learn({words[i] for i, skip in zip(gaps, odd[gaps].tolist(), strict=True) if not skip})
         known = self.known
-        for n, (parts, (found, gaps)) in enumerate(zip(cut, rest, strict=True)):
-            for i in gaps:
-                found[i] = known[parts[i]]
-            out[n] += b"".join(found)
+        for i in gaps:
+            entries[i] = known.get(words[i], b"")
+        entries += self._ids(first)
+        out = _joined(entries, order, offsets)
+        for n in np.flatnonzero(odd_text).tolist():
+            out[n] = self._encode_odd(texts[n])
         return out
 
+    def _encode_odd(self, text: str) -> bytes:
+        """A text where a space meets other white space."""
+        head, *pieces = self._cut.split(text)
+        self._learn({x for x in pieces if x not in self.known and not _odd(x)})
+        odd = iter(self._ids([head, *(" " + x for x in pieces if _odd(x))]))
+        return b"".join([next(odd), *(next(odd) if _odd(x) else self.known[x] for x in pieces)])
+
+
+#: A piece that is empty, or begins or ends with white space of any script.
+_ODD_PIECE = r"^$|^[\s\x1c-\x1f\x{85}\p{Z}]|[\s\x1c-\x1f\x{85}\p{Z}]$"
+
+
+def _joined(entries: list[bytes], order: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Per text, the ids of its entries one after another."""
+    sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+    ids = np.frombuffer(b"".join(entries), dtype=np.uint32)
+    begins = np.cumsum(sizes) - sizes
+    each = sizes[order]
+    ends = np.cumsum(each)
+    places = np.repeat(begins[order] - (ends - each), each) + np.arange(int(each.sum()))
+    raw = ids[places].tobytes()
+    bounds = 4 * np.concatenate(([0], ends))[offsets]
+    return [raw[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
+def _open(piece: str) -> bool:
+    """Whether a space after this piece meets white space, or the text's beginning."""
+    return piece == "" or piece[-1].isspace()
+
 
 def _odd(piece: str) -> bool:
     return piece == "" or piece[0].isspace() or piece[-1].isspace()
@@ -211,9 +238,9 @@ def _segments(tokenizer: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]
         size = 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 256):
-                part = [x or "" for x in texts.slice(at, 256).to_pylist()]
-                for doc_id, made in zip(ids[at : at + 256], coder.encode(part), strict=True):
+            for at in range(0, len(ids), TEXTS_AT_ONCE):
+                part = [x or "" for x in texts.slice(at, TEXTS_AT_ONCE).to_pylist()]
+                for doc_id, made in zip(ids[at : at + TEXTS_AT_ONCE], coder.encode(part), strict=True):
                     held.append((doc_id, made + end))
                     size += len(made) // 4 + 1
                     if size >= SEGMENT_IDS:
