@@ -20,9 +20,11 @@ emitted:
 Each estimate filter keeps pairs 0.3 below the threshold (more than five standard
 deviations for 64 values).
 
+Aggregates of hot values are written before they are joined, so that Spark can split these joins.
+
 Defined results: null text, or a text without words, has an empty set, is linked
 with nothing and is its own component; rows that share a doc_id are judged each by
-its own text, equal rows alike; a null doc_id links nothing, has the component of
+its own text (``text_hash`` tells them apart), equal rows alike; a null doc_id links nothing, has the component of
 documents with an equal set or none, and is kept; an empty table gives no rows;
 other columns are not read.
 """
@@ -89,8 +91,9 @@ def _sketches(k: int, shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                         pa.array(_sum_by_row(mix(hashes, 11), bounds)),
                         pa.array(_sum_by_row(mix(hashes, 12), bounds)),
                         lists(hashes[rank < k], offsets, pa.int64()),
+                        batch.column(2).slice(at, n),
                     ],
-                    names=["doc_id", "n_shingles", "s1", "s2", "sketch"],
+                    names=["doc_id", "n_shingles", "s1", "s2", "sketch", "text_hash"],
                 )
                 at += n
 
@@ -98,9 +101,10 @@ def _sketches(k: int, shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def sketches(docs: DataFrame, k: int = K, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, size of the set, two checksums of it, its k least values in order."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _sketches(k, shingle), "doc_id long, n_shingles long, s1 long, s2 long, sketch array<long>"
+    """doc_id, size of the set, two checksums of it, its k least values in order, a hash of the text."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("text_hash")).mapInArrow(
+        _sketches(k, shingle), "doc_id long, n_shingles long, s1 long, s2 long, sketch array<long>, text_hash long"
     )
 
 
@@ -181,13 +185,13 @@ def _apart(half: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) ->
     """
     placed = half.join(labels, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
     each = placed.join(sets, "node").select("node", "n", "component", F.explode("members").alias("v"))
-    often = each.groupBy("v").agg(F.count("*").alias("often"))
+    often = stored(each.groupBy("v").agg(F.count("*").alias("often")), "member-counts")
     ordered = F.sort_array(F.collect_list(F.struct("often", "v")))
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     kept = F.slice("ordered", F.lit(1), first.cast("int"))
     ranked = each.join(often, "v").groupBy("node", "n", "component").agg(ordered.alias("ordered"))
     prefix = stored(ranked.select("node", "n", "component", F.posexplode(kept).alias("at", "m")).select("node", "n", "component", "at", "m.v"), "prefixes")
-    near = prefix.join(_divided(prefix), "v")
+    near = prefix.join(stored(_divided(prefix), "divided"), "v")
     x, y = near.alias("x"), near.alias("y")
     left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))  # shared members at most
     met = x.join(
@@ -202,13 +206,13 @@ def _apart(half: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) ->
 def near_duplicates(
     docs: DataFrame, k: int = K, short: int = SHORT, percent: int = PERCENT, shingle: int = SHINGLE
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    """doc_id, n_shingles, component_id, kept and text_hash for every row of ``docs``."""
     rows = stored(sketches(docs, k, shingle), "sketches")
     key = ("n_shingles", "s1", "s2")
     sets_of_rows = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key)
-    nodes = stored(
-        sets_of_rows.agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")), "nodes"
-    ).withColumnRenamed("n_shingles", "n")
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    named = stored(sets_of_rows.agg(first, F.first("sketch").alias("sketch")), "nodes").withColumnRenamed("n_shingles", "n")
+    nodes, shared = _named(named)
 
     postings = nodes.select("node", "n", F.explode("sketch").alias("v"))
     sizes = postings.groupBy("v").agg(F.count("*").alias("length"), F.min("node").alias("a"), F.max("node").alias("b"))
@@ -227,18 +231,22 @@ def near_duplicates(
     long_entries = entries.filter(F.col("length") > short)
     n_long = long_entries.groupBy("node").agg(F.count("*").alias("n_long"))
     long_entries = stored(long_entries.join(n_long, "node"), "long-lists")
-    spokes = _spokes(long_entries, _hubs(long_entries), percent)
+    spokes = _spokes(long_entries, stored(_hubs(long_entries), "hubs"), percent)
     candidates = stored(likely(two.unionAll(few).unionAll(spokes).distinct(), nodes, k, percent), "candidates")
 
     mostly_long = nodes.join(n_long, "node").filter(2 * F.col("n_long") >= F.size("sketch"))
     half = stored(mostly_long.select("node", "n"), "mostly-long")
     wanted = candidates.select(F.col("a").alias("node")).unionAll(candidates.select("b")).unionAll(half.select("node"))
-    text = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
+    firsts = nodes.join(wanted.distinct(), "node", "left_semi").select("node", "first.*")
+    firsts = firsts.withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash"})
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = text.withColumn("text_hash", F.xxhash64("text"))
+    same = (F.col("doc_id") == F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
     # hashed by id, so texts are not sorted
-    sets = stored(
-        text.join(wanted.distinct().hint("shuffle_hash"), "node", "left_semi").mapInArrow(_full_sets(shingle), "node long, members array<long>"),
-        "sets",
-    )
+    texts = text.join(firsts.hint("shuffle_hash"), same).select("node", "text")
+    if not rows.groupBy("doc_id", "text_hash").count().filter("count > 1 AND doc_id IS NOT NULL").isEmpty():
+        texts = texts.dropDuplicates(["node"])  # equal rows give one set
+    sets = stored(texts.mapInArrow(_full_sets(shingle), "node long, members array<long>"), "sets")
     links = stored(confirmed(candidates, sets, percent), "confirmed")
     labels = components(links)
 
@@ -248,12 +256,33 @@ def near_duplicates(
         if not found.isEmpty():
             labels = components(links.unionAll(found))
 
-    own = nodes.select("n", "s1", "s2", "node").join(labels, "node", "left")
-    component = own.select(F.col("n").alias("n_shingles"), "s1", "s2", F.coalesce("component", "node").alias("component"))
-    placed = rows.select("doc_id", *key).join(component, list(key), "left")
+    own = nodes.select("n", "s1", "s2", "node", F.col("first.doc_id").alias("first_id")).join(labels, "node", "left")
+    own = own.withColumn("component", F.coalesce("component", "node"))
+    if shared:  # a component is named by its smallest doc_id, not by a node's own name
+        least = stored(own.groupBy("component").agg(F.min("first_id").alias("least")), "least-ids")
+        own = own.join(least, "component").withColumn("component", F.col("least"))
+    component = own.select(F.col("n").alias("n_shingles"), "s1", "s2", "component")
+    placed = rows.select("doc_id", "text_hash", *key).join(stored(component, "set-components"), list(key), "left")
     return _finish(placed)
 
 
+def _named(sets: DataFrame) -> tuple[DataFrame, bool]:
+    """Sets with ``node``, a number of their own, and whether some share their first doc_id.
+
+    A node is its set's smallest doc_id. Of unlike sets with one such id, all but one are
+    named by a hash of the set.
+    """
+    nodes = sets.withColumn("node", F.col("first.doc_id"))
+    kept = nodes.groupBy("node").agg(F.min(F.struct("n", "s1", "s2")).alias("kept"), F.count("*").alias("sets"))
+    shared = stored(kept.filter("sets > 1").select(F.col("node").alias("shared_id"), "kept"), "shared-ids")
+    if shared.isEmpty():
+        return nodes, False
+    joined = nodes.join(shared, F.col("node") == F.col("shared_id"), "left")
+    other = F.col("kept").isNotNull() & (F.struct("n", "s1", "s2") != F.col("kept"))
+    named = joined.withColumn("node", F.when(other, F.xxhash64("n", "s1", "s2")).otherwise(F.col("node")))
+    return stored(named.select(*nodes.columns), "named-sets"), True
+
+
 def _finish(placed: DataFrame) -> DataFrame:
     """A row per document with its component; an unlinked one is its own."""
     found = F.coalesce("component", "doc_id")
@@ -263,4 +292,5 @@ def _finish(placed: DataFrame) -> DataFrame:
         "n_shingles",
         F.when(~alone, found).alias("component_id"),
         (alone | (F.col("doc_id") == found)).alias("kept"),
+        "text_hash",
     )
