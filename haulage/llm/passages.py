@@ -210,8 +210,10 @@ def recurring_runs(docs: DataFrame, texts: DataFrame, window: int, phrase: int)
     phrases = texts.select("k1", copied.alias("copied"), F.posexplode("phrases").alias("i", "phrase"))
     phrases = phrases.select("k1", "phrase", (F.col("i") * 2 + F.col("copied")).alias("tag"))
     counted = phrases.groupBy("phrase").agg(F.sum(F.col("tag") % 2 + 1).alias("places"))
+    # written first, so that the join reads two plain shuffles and a hot phrase can be split
+    counted = stored(counted.filter("places > 1"), "phrase-places")
     # a phrase that only copies of one text hold says nothing about other texts
-    known = phrases.join(counted.filter("places > 1"), "phrase").filter((F.col("tag") % 2 == 0) | (F.col("places") > 2))
+    known = phrases.join(counted, "phrase").filter((F.col("tag") % 2 == 0) | (F.col("places") > 2))
     picks = known.groupBy("k1").agg(F.sort_array(F.collect_set((F.col("tag") / 2).cast("int"))).alias("picks"))
     picks = picks.join(texts.select(*key, "doc_id", "text_hash", (F.col("copies") == 1).alias("single")), "k1")
     read = stored(_texts_of(docs, picks, "single", "picks").mapInArrow(_blocks(window, phrase), BLOCKS), "blocks")
