@@ -6,8 +6,9 @@ the largest answer of each filter in the whole text feeds a logistic output.
 Long texts are read in pieces that overlap by the widest filter, and the
 largest answers are carried on, so memory does not grow with the text.
 
-The model is fitted on at most ``max_per_class`` labelled rows of each class, in
-an order fixed by a hash; everything else covers all rows. A threshold for each
+The model is fitted on at most ``max_per_class`` labelled documents of each class, of together
+``MAX_SAMPLE_BYTES``, in an order fixed by a hash; everything else covers all rows. Of rows that
+share a labelled doc_id one is fitted on; an id that is labelled both ways takes no part. A threshold for each
 language is the step of ``GRID`` with the fewest errors in all labelled rows of that
 language that were not fitted on: all beyond the sample, and what ``_kept_apart``
 leaves out of it. A language with fewer than ``MIN_CALIBRATION`` such rows of a class
@@ -35,6 +36,7 @@ DIMENSIONS = 12
 TABLE_BITS = 15
 HEADS = (4, 6)
 MAX_PER_CLASS = 2500
+MAX_SAMPLE_BYTES = 1 << 26
 EPOCHS = 5
 MIN_UPDATES = 1000
 BATCH = 32
@@ -207,21 +209,43 @@ def _kept_apart(truth: np.ndarray, langs: list[str | None]) -> np.ndarray:
     return apart
 
 
+def sampled(docs: DataFrame, chosen: DataFrame, max_bytes: int = MAX_SAMPLE_BYTES) -> pa.Table:
+    """label_id, order, toxic, lang, text: one document of each chosen id, in the ids' order.
+
+    ``chosen`` has a bounded number of distinct ids, so it can be broadcast. Documents are taken as
+    far as their texts fit into ``max_bytes``, the least text of those that share an id.
+    """
+    joined = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    key = ["label_id", "order", "toxic"]
+    one = F.min(F.struct(F.octet_length("text").alias("bytes"), F.xxhash64("text", "lang").alias("hash"))).alias("one")
+    sizes = sorted(joined.groupBy(*key).agg(one).collect(), key=lambda r: (r["order"], r["toxic"]))
+    total, kept = 0, []
+    for row in sizes:
+        total += row["one"]["bytes"] or 0
+        if kept and total > max_bytes:
+            break
+        kept.append((row["label_id"], row["one"]["hash"]))
+    id_type = chosen.schema["label_id"].dataType.simpleString()
+    taken = docs.sparkSession.createDataFrame(kept, f"taken_id {id_type}, taken_hash long")
+    is_taken = (F.col("label_id") == F.col("taken_id")) & (F.xxhash64("text", "lang") == F.col("taken_hash"))
+    rows = joined.join(F.broadcast(taken), is_taken).groupBy(*key).agg(F.min(F.struct("lang", "text")).alias("row"))
+    return rows.select(*key, "row.lang", "row.text").orderBy("order", "toxic").toArrow()
+
+
 def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS, epochs: int = EPOCHS) -> Classifier:
     """Fit on a bounded sample of labelled documents; ``labels`` has doc_id and toxic.
 
     Thresholds are calibrated on all labelled documents that were not fitted on.
     """
     marked = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)")
+    marked = marked.groupBy("label_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most").drop("most")
     order = F.md5(F.concat(F.lit("order:"), F.col("label_id").cast("string")).cast("binary"))
     chosen = None
     for label in (0, 1):
         part = marked.filter(F.col("toxic") == label).withColumn("order", order).orderBy("order").limit(max_per_class)
         chosen = part if chosen is None else chosen.unionAll(part)
-    # at most twice ``max_per_class`` ids, so their size is bounded
-    joined = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-    rows = joined.select("label_id", "order", "toxic", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).orderBy("order", "text")
-    table = rows.toArrow()
+    own = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    table = sampled(own, chosen)
     model = Classifier.new()
     truth = np.array(table.column("toxic").to_pylist(), dtype=np.float32)
     if len(set(truth.tolist())) < 2:
