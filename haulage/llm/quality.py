@@ -5,7 +5,8 @@
    3 ** labellers, whatever the corpus) estimates the share of good documents
    and how often each labeller is right; that gives every pattern a posterior.
 3. A linear scorer on hashed 4-byte grams is fitted to the posteriors of at most
-   ``max_sample`` documents, in an order fixed by a hash, and scores all of them.
+   ``max_sample`` unlike documents of together ``MAX_SAMPLE_BYTES``, in an order fixed by a
+   hash, and scores all of them.
 
 Votes and posteriors cover all rows; only the scorer's fit uses a sample.
 
@@ -29,6 +30,7 @@ from haulage.llm.words import byte_grams, chunks, flat, mix, words_of
 GRAM = 4
 BITS = 15
 MAX_SAMPLE = 4000
+MAX_SAMPLE_BYTES = 1 << 26
 EPOCHS = 6
 STEP = 0.5
 ROUNDS = 100
@@ -190,18 +192,37 @@ def learn(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> tuple[LabelModel, Sc
     """The label model from all documents, the scorer from a sample of them."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     voted = text.mapInArrow(_votes, "doc_id long, text string, pattern long")
-    ids = stored(voted.select("doc_id", F.xxhash64("doc_id", "text").alias("place"), "pattern"), "votes")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")
+    ids = stored(voted.select("doc_id", F.xxhash64("doc_id", "text").alias("place"), "pattern", size), "votes")
     counted = ids.groupBy("pattern").count().toPandas()  # at most 3 ** labellers rows
     patterns = unpacked(counted["pattern"].to_numpy(dtype=np.int64))
     model = estimate(patterns, counted["count"].to_numpy(dtype=np.float64))
-    chosen = ids.orderBy("place").limit(max_sample).select("place", "pattern")
-    hashed = text.withColumn("place", F.xxhash64("doc_id", "text"))
-    sample = hashed.join(F.broadcast(chosen), "place").select("place", "pattern", "text").orderBy("place", "text").toArrow()
+    sample = sampled(text, ids, max_sample)
     posteriors = model.posterior(unpacked(np.array(sample.column("pattern").to_pylist(), dtype=np.int64).reshape(-1)))
     texts = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
     return model, fit(texts, posteriors)
 
 
+def sampled(text: DataFrame, ids: DataFrame, max_sample: int, max_bytes: int = MAX_SAMPLE_BYTES) -> pa.Table:
+    """place, pattern, text of unlike rows (equal rows are one), in the order of their places.
+
+    At most ``max_sample`` rows, as far as their texts fit into ``max_bytes`` (the first always
+    does); the sizes are known before any text is read.
+    """
+    unlike = ids.groupBy("place").agg(F.min("pattern").alias("pattern"), F.min("bytes").alias("bytes"))
+    first = unlike.orderBy("place").limit(max_sample).collect()
+    total, kept = 0, []
+    for row in first:
+        total += row["bytes"]
+        if kept and total > max_bytes:
+            break
+        kept.append((row["place"], row["pattern"]))
+    chosen = text.sparkSession.createDataFrame(kept, "place long, pattern long")
+    hashed = text.withColumn("place", F.xxhash64("doc_id", "text"))
+    found = hashed.join(F.broadcast(chosen), "place").groupBy("place").agg(F.min("pattern").alias("pattern"), F.min("text").alias("text"))
+    return found.orderBy("place").toArrow()
+
+
 def _scored(model: LabelModel, scorer: Scorer):
     def run(batches):
         for batch in batches:
