@@ -32,7 +32,8 @@ from haulage.llm.storing import stored
 from haulage.session import scratch_dir
 
 SEPARATOR = r"[\x20\x09-\x0D]+"
-LONG = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}"
+#: Matched from the beginning of a run only, so a long run is read once.
+LONG = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{16,}+"
 NAME = r"(?i:password|passwd|pwd|secret|token|api_?key|access_?key)[\"']?"
 VALUE = r"[\"']?[^\s\"',;]{6,}?(?=&[A-Za-z_]+=|[\s\"',;]|$)"
 NAMED = f"{NAME}[=:]+{VALUE}"
@@ -169,5 +170,6 @@ def judged(labelled: DataFrame, max_findings: int = MAX_FINDINGS) -> DataFrame:
 
 def find_secrets(docs: DataFrame, max_findings: int = MAX_FINDINGS) -> DataFrame:
     """doc_id, place, value, probability, secret for every candidate of every document."""
-    found = stored(described(candidates(docs), dictionary(docs)), "findings")
+    taken = stored(candidates(docs), "candidates")  # used twice
+    found = stored(described(taken, dictionary(docs)), "findings")
     return judged(weak_labels(found), max_findings).select("doc_id", "place", "value", "label", "probability", "secret")
