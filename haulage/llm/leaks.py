@@ -7,19 +7,21 @@ edits. Such a stretch shares at least m - q + 1 - q * e q-grams with the segment
 on diagonals (place in the document minus place in the segment) that differ by
 at most e. So q-gram matches are counted in bands of 2(e + 1) diagonals that
 overlap by half; bands that meet the bound are kept, and a banded alignment
-decides.
+decides. Grams have ``Q`` characters, or fewer where the bound of a short segment would
+fall below one: floor(m / (e + 1)) always leaves it at one at least.
 
-A-Z are folded, and each white space character counts as a space. Texts are
-whole; nothing is sampled.
+A-Z are folded, and a run of white space counts as one space. Texts are whole, items of
+every length are searched, and nothing is sampled. Places are those of the texts as given.
 
 The benchmark goes to every task. It is read in blocks of at most
 ``BLOCK_CHARS`` characters, so what is sent stays bounded; a larger benchmark
 takes more passes over the documents.
 
-Defined results: null or empty texts and items match nothing; items below
-``MIN_CHARS`` characters are too short to tell and match nothing; repeated rows
-are judged alike; null doc_id or item_id come back as null; empty tables give no
-rows; other columns pass through ``without_leaks`` unchanged.
+Defined results: null or empty texts and items match nothing; repeated rows are judged alike;
+null doc_id or item_id come back as null; empty tables give no rows; other columns pass
+through ``without_leaks`` unchanged. A document is removed by items of at least ``min_chars``
+characters only: a shorter one is a word or two, which clean documents use as well. ``find_leaks``
+reports those, too.
 """
 
 from __future__ import annotations
@@ -35,25 +37,46 @@ from haulage.llm.words import byte_grams
 Q = 12
 RATE = 0.06
 SEGMENT = 100
-MIN_CHARS = 30
+MIN_CHARS = 30  # of an item that removes documents
 BLOCK_CHARS = 4_000_000
 CHUNK_CHARS = 1 << 19
 _FILTER_BITS = 21
 
 
-def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The folded characters of all texts, and where each text begins."""
-    starts = np.concatenate(([0], np.cumsum([len(x) for x in texts]))).astype(np.int64)
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The folded characters of all texts, where each text begins, and each character's place in its text."""
+    sizes = np.array([len(x) for x in texts], dtype=np.int64)
+    starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     codes = codes + ((codes >= 65) & (codes <= 90)).astype(np.uint32) * np.uint32(32)
     codes[(codes >= 9) & (codes <= 13)] = 32
-    return codes, starts
+    again = np.zeros(len(codes) + 1, dtype=bool)  # a space after a space
+    again[1:-1] = (codes[1:] == 32) & (codes[:-1] == 32)
+    again[starts] = False
+    kept = np.flatnonzero(~again[:-1])
+    text = np.repeat(np.arange(len(texts)), sizes)[kept]
+    return codes[kept], np.searchsorted(text, np.arange(len(texts) + 1)), kept - starts[text]
 
 
 def edit_budget(length: int, rate: float = RATE) -> int:
     return int(length * rate)
 
 
+class _Grams:
+    """The grams of ``q`` characters of some segments, in order, and their places."""
+
+    def __init__(self, q: int, chosen: np.ndarray, segments: list[np.ndarray]):
+        self.q = q
+        grams = [byte_grams(segments[i], q) for i in chosen]
+        hashes = np.concatenate(grams)
+        of = np.repeat(chosen, [len(g) for g in grams])
+        place = np.concatenate([np.arange(len(g)) for g in grams])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.of, self.place = hashes[order], of[order], place[order]
+        self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
+        self.filter[self.hashes >> np.uint64(64 - _FILTER_BITS)] = True
+
+
 class Benchmark:
     """Segments of a block of items and the places of their q-grams."""
 
@@ -63,26 +86,20 @@ class Benchmark:
         self.segments: list[np.ndarray] = []
         self.begins: list[int] = []
         for item, text in items:
-            codes, _ = code_points([text or ""])
-            if len(codes) < MIN_CHARS:
+            codes, _, origin = code_points([text or ""])
+            if not len(codes):
                 continue
             step = segment // 2
             last = max(0, len(codes) - segment)
             for at in sorted({*range(0, last, step), last}):
                 self.items.append(item)
-                self.begins.append(at)
+                self.begins.append(int(origin[at]))
                 self.segments.append(codes[at : at + segment])
         self.lengths = np.array([len(s) for s in self.segments], dtype=np.int64)
         self.edits = np.array([edit_budget(n, rate) for n in self.lengths], dtype=np.int64)
-        self.bounds = np.maximum(1, self.lengths - q + 1 - q * self.edits)
-        grams = [byte_grams(s, q) for s in self.segments]
-        hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        of = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.of, self.place = hashes[order], of[order], place[order]
-        self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
-        self.filter[self.hashes >> np.uint64(64 - _FILTER_BITS)] = True
+        sizes = np.minimum(q, self.lengths // (self.edits + 1))  # of grams, by segment
+        self.bounds = self.lengths - sizes + 1 - sizes * self.edits
+        self.grams = [_Grams(int(n), np.flatnonzero(sizes == n), self.segments) for n in np.unique(sizes)]
         width = int(self.lengths.max(initial=1))
         self.padded = np.zeros((len(self.segments), width), dtype=np.uint32)
         for i, s in enumerate(self.segments):
@@ -90,23 +107,27 @@ class Benchmark:
 
     def bands(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, segment, first diagonal of the band) wherever a band meets its bound."""
+        found = [self._bands(grams, codes, starts) for grams in self.grams]
+        return tuple(np.concatenate(x) for x in zip((np.zeros(0, np.int64),) * 3, *found, strict=True))
+
+    def _bands(self, own: _Grams, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         empty = (np.zeros(0, np.int64),) * 3
-        grams = byte_grams(codes, self.q)
-        at = np.flatnonzero(self.filter[grams >> np.uint64(64 - _FILTER_BITS)])
-        if not len(at) or not len(self.hashes):
+        grams = byte_grams(codes, own.q)
+        at = np.flatnonzero(own.filter[grams >> np.uint64(64 - _FILTER_BITS)])
+        if not len(at):
             return empty
-        low = np.searchsorted(self.hashes, grams[at], "left")
-        n = np.searchsorted(self.hashes, grams[at], "right") - low
+        low = np.searchsorted(own.hashes, grams[at], "left")
+        n = np.searchsorted(own.hashes, grams[at], "right") - low
         at, low, n = at[n > 0], low[n > 0], n[n > 0]
         text = np.searchsorted(starts, at, side="right") - 1
-        inside = at + self.q <= starts[text + 1]
+        inside = at + own.q <= starts[text + 1]
         at, low, n, text = at[inside], low[inside], n[inside], text[inside]
         if not len(at):
             return empty
         match = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        at, text, segment = np.repeat(at, n), np.repeat(text, n), self.of[match]
+        at, text, segment = np.repeat(at, n), np.repeat(text, n), own.of[match]
         step = self.edits[segment] + 1
-        diagonal = at - starts[text] - self.place[match] + self.lengths[segment]  # never negative
+        diagonal = at - starts[text] - own.place[match] + self.lengths[segment]  # never negative
         high = diagonal // step
         keys = np.concatenate([np.stack([text, segment, high], 1), np.stack([text, segment, high - 1], 1)])
         found, counts = np.unique(keys, axis=0, return_counts=True) if len(keys) < 64 else _count(keys)
@@ -147,14 +168,15 @@ class Benchmark:
 
     def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text, segment, edits, end) of every segment that a text holds."""
-        codes, starts = code_points(texts)
+        codes, starts, origin = code_points(texts)
         text, segment, first = self.bands(codes, starts)
         out = []
         for a in range(0, len(text), 2048):
             part = slice(a, a + 2048)
             edits, end = self.align(codes, starts, text[part], segment[part], first[part])
             good = np.flatnonzero(edits <= self.edits[segment[part]])
-            out += [(int(text[part][g]), int(segment[part][g]), int(edits[g]), int(end[g])) for g in good]
+            last = origin[np.maximum(starts[text[part]] + end - 1, starts[text[part]])] + 1
+            out += [(int(text[part][g]), int(segment[part][g]), int(edits[g]), int(last[g])) for g in good]
         return out
 
 
@@ -204,10 +226,10 @@ def _keep(bench: Benchmark, text_at: int):
     return run
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS) -> Iterator[list]:
+def blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS, min_chars: int = 1) -> Iterator[list]:
     """The items, a block of at most ``limit`` characters (or one item) at a time."""
     held, size = [], 0
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter(F.length("text") >= MIN_CHARS)
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter(F.length("text") >= min_chars)
     for row in items.toLocalIterator():
         if held and size + len(row.text) > limit:
             yield held
@@ -236,9 +258,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no segment of any item, with all their columns."""
+def without_leaks(docs: DataFrame, benchmark: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The documents that hold no segment of any item of ``min_chars`` or more, with all their columns."""
     kept = docs
-    for items in blocks(benchmark):
+    for items in blocks(benchmark, min_chars=min_chars):
         kept = kept.mapInArrow(_keep(Benchmark(items), docs.columns.index("text")), docs.schema)
     return kept
