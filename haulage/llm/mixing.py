@@ -9,10 +9,10 @@ Defined results:
 
 - null text has size 0; a source without words has target 0 and is not emitted;
 - null source is a source of its own, the last in order;
-- rows that share a doc_id (or have none) share the coin, so repeated rows are
-  taken or left together;
-- an empty table gives an empty table; other columns pass through. Helper columns
-  start with ``mix_``; a table with such columns is refused.
+- rows that share a doc_id share the coin, and rows without one share it with equal texts, so
+  repeated rows are taken or left together;
+- an empty table gives an empty table; other columns pass through. A table that has a
+  helper column's name (``HELPERS``) is refused.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from haulage.llm.storing import stored
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
+HELPERS = ("mix_source", "mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_copy")
 
 
 def word_count(text: str | Column) -> Column:
@@ -72,9 +73,10 @@ def source_targets(
     return levels.select("mix_source", "mix_source_size", target.alias("mix_target"))
 
 
-def coin(doc_id: str, seed: int) -> Column:
-    """A number in [0, 1) fixed by the id and the seed: 52 bits of a digest."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+def coin(doc_id: str, seed: int, text: str = "text") -> Column:
+    """A number in [0, 1) fixed by the id (the text, where there is none) and the seed: 52 bits of a digest."""
+    no_id = F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), no_id))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -90,6 +92,9 @@ def with_copies(
     is planned: a small one is broadcast, a large one is joined by a shuffle
     whose hot sources are split at run time.
     """
+    taken = sorted({name.lower() for name in docs.columns} & set(HELPERS))
+    if taken:
+        raise ValueError(f"the table has columns named {', '.join(taken)}")
     sized = docs.withColumn("mix_size", word_count("text"))
     targets = stored(
         source_targets(sized.select(F.col("source").alias("mix_source"), "mix_size"), weights, max_repeats),

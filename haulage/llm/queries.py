@@ -36,7 +36,8 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 MIXED = r"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+  SELECT coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, ''))) AS key, doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
 ), totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
 ), ranked AS (
@@ -52,7 +53,7 @@ WITH sized AS (
   SELECT source, source_size, CASE WHEN open_level IS NULL OR stop <= open_level THEN CAST(most AS DOUBLE) ELSE weight * open_level END AS target FROM opened
 ), planned AS (
   SELECT s.doc_id, s.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-         CAST('0x' || substr(md5('1:' || coalesce(CAST(s.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS coin
+         CAST('0x' || substr(md5('1:' || s.key), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS coin
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
