@@ -27,11 +27,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies; of equal rows, one.
 
-    Documents without a doc_id can't be told apart by it: equal rows among them
-    become one, near copies stay.
+    Rows that share a doc_id are judged each by its own text. Documents without a doc_id
+    can't be told apart by it: equal rows among them become one, near copies stay.
     """
-    copies = minhash.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    copies = minhash.near_duplicates(docs).filter("NOT kept")
+    copies = copies.select(F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash")).distinct()
+    same = (docs["doc_id"].cast("long") == F.col("copy_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("copy_hash"))
+    return docs.join(copies, same, "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
