@@ -185,7 +185,81 @@ def op11_negatives(spark, sf_dir):
     return negatives.hard_negatives(vectors.withColumn("label", label), F.col("id") % 100 == 0)
 
 
-@registered()
+#: A way to repair the rows so far: its cost, its edits, the turns it keeps.
+_STATE = "STRUCT(c BIGINT, e VARCHAR, t VARCHAR[])"
+
+
+def _way(state: str, cost: int | str, edit: str, turn: str | None = None) -> str:
+    turns = f"list_append({state}.t, {turn})" if turn else f"{state}.t"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'e': {state}.e || '{edit}', 't': {turns}}} END"
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _edits(state: str, role: str) -> tuple[str, str]:
+    kept = _way(state, "extra", "K", "role || ':' || text")
+    given = _way(state, "1 + extra", "R", f"'{role}:' || text")
+    return f"CASE WHEN stays AND left(role, 1) = '{role[0]}' THEN {kept} END", f"CASE WHEN stays THEN {given} END"
+
+
+_USER = _least("u", *(_way(x, 5, "I", "'user:'") for x in "qsa"))
+_ASSISTANT = _least("a", _way("u1", 5, "I", "'assistant:'"))
+_SYSTEM = f"CASE WHEN stays AND left(role, 1) = 's' THEN {_way('q', 'extra', 'K', "role || ':' || text")} END"
+REPAIRED = f"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: ascii(x)) AS bytes
+  FROM conversations
+), checked AS (
+  SELECT *, xor(list_reduce(flatten(list_transform(bytes, lambda x: [x, -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END, 4294967295), 4294967295) % 20 AS fate
+  FROM marked
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM checked
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), copy) AS n FROM damaged
+), faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+                 WHEN regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         left(lag(role) OVER (PARTITION BY conv_id ORDER BY n), 1) || left(role, 1) AS pair
+  FROM ordered
+), counted AS (
+  SELECT conv_id, count(n) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN faults USING (conv_id) GROUP BY conv_id
+), search AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, CAST({{'c': 0, 'e': '', 't': []}} AS {_STATE}) AS q,
+         CAST(NULL AS {_STATE}) AS s, CAST(NULL AS {_STATE}) AS u, CAST(NULL AS {_STATE}) AS a FROM counted
+  UNION ALL
+  SELECT conv_id, n, {_least(_way('q', 2, 'D'))}, {_least(_way('s', 2, 'D'), _SYSTEM)},
+         {_least(_way('u', 2, 'D'), *(x for state in ('q', 's', 'a1') for x in _edits(state, 'user')))},
+         {_least(_way('a', 2, 'D'), *_edits('u1', 'assistant'))}
+  FROM (
+    SELECT *, {_ASSISTANT} AS a1 FROM (
+      SELECT w.conv_id, r.n, q, s, u, a, r.role, r.text, r.fault IS NULL OR r.fault = 'truncated' AS stays,
+             CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END AS extra, {_USER} AS u1
+      FROM search w JOIN faults r ON r.conv_id = w.conv_id AND r.n = w.n + 1
+    )
+  )
+), ended AS (
+  SELECT conv_id, {_least('q', 'a1')} AS best FROM (
+    SELECT *, {_ASSISTANT} AS a1 FROM (SELECT w.*, {_USER} AS u1 FROM search w JOIN counted k ON k.conv_id = w.conv_id AND k.rows = w.n)
+  )
+)
+SELECT conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, best.c AS cost, best.e AS audit,
+       sha256(array_to_string(best.t, chr(10))) AS repaired_sha256
+FROM counted JOIN ended USING (conv_id)
+"""
+
+
+@registered(REPAIRED)
 def op12_repair(spark, sf_dir):
     return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
 

@@ -519,7 +519,7 @@ def test_every_secret_of_a_text_is_a_candidate(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_same_rows_as_sql(name, spark, sf_dir):
     duck = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     expected = duck.execute(queries.SQL[name])
     columns = [d[0] for d in expected.description]
