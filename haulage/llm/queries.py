@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulage.llm import chat, leaks, minhash, mixing, negatives, passages, quality, repair, secrets, suffixes, tokens, toxicity, weighted
+from haulage.llm.sql import NEAR, PASSAGES, SUFFIXES
 from haulage.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,9 +123,9 @@ def op4_tokens(spark, sf_dir):
     return tokens.doc_digests(tokens.read_segments(spark, path))
 
 
-@registered()
+@registered(NEAR)
 def op5_minhash(spark, sf_dir):
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @registered()
@@ -133,7 +134,7 @@ def op6_quality(spark, sf_dir):
     return quality.score(docs, *quality.learn(docs))
 
 
-@registered()
+@registered(PASSAGES)
 def op7_passages(spark, sf_dir):
     return passages.remove_recurring(table(spark, sf_dir, "documents"))
 
@@ -264,6 +265,6 @@ def op12_repair(spark, sf_dir):
     return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
 
 
-@registered()
+@registered(SUFFIXES)
 def op13_suffixes(spark, sf_dir):
     return suffixes.remove_repeated(table(spark, sf_dir, "documents"))

@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
 CACHED_PIECES = 300_000
-TEXTS_AT_ONCE = 512
+TEXTS_AT_ONCE = 1024
+PIECES_AT_ONCE = 4096
 
 SEGMENT = (
     "shard int, segment int, segment_start long, n_ids long, bits int, block_offsets array<long>, "
@@ -91,11 +92,11 @@ def unpack(payload: bytes, offsets, bits: int, n_ids: int, start: int = 0, stop:
 class Encoder:
     """A tokenizer file, with the ids of pieces seen before.
 
-    A byte-level tokenizer never joins a space to what stands before it, so a text
-    falls into pieces before each single space and pieces are encoded apart. Texts
-    where a space meets other white space are cut only between visible characters.
-    ``known`` has pieces without their leading space; when it is full it becomes
-    ``older``, from which pieces still in use come back.
+    A byte-level tokenizer never joins a space to what stands before it, nor a line break to
+    anything visible, so a text falls into pieces before each single space or line break and
+    pieces are encoded apart. Texts where these meet other white space are cut only between
+    visible characters. ``known`` has pieces without their leading space (a line break stays);
+    when it is full it becomes ``older``, from which pieces still in use come back.
     """
 
     def __init__(self, path: str):
@@ -103,33 +104,44 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # pieces are kept here
+        marks = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)}
+        #: A control string of the tokenizer, before which and after which texts are encoded apart.
+        self.mark, self.mark_id = next(iter(marks.items()), (None, None))
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    _cut = re.compile(r"(?<=\S) (?=\S)")
+    _cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; all pieces are one call, between control strings."""
+        if self.mark and len(pieces) > 1:
+            line = self.mark.join(pieces)
+            if line.count(self.mark) == len(pieces) - 1:
+                (made,) = self.tokenizer.encode_batch_fast([line], add_special_tokens=False)
+                ids = np.array(made.ids, dtype=np.uint32)
+                cuts = 4 * np.flatnonzero(ids == self.mark_id)
+                raw = ids.tobytes()
+                begins, ends = [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)]
+                return [raw[a:b] for a, b in zip(begins, ends, strict=True)]
         made = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in made]
 
     def _learn(self, new: set[str]) -> None:
         """Pieces not in ``known``; a full stop or comma after a letter is encoded apart."""
         known, older = self.known, self.older
-        fresh, ended = [], []
-        for piece in new:
-            if piece in older:
-                known[piece] = older[piece]
-            elif piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
-                ended.append(piece)
-                stem = piece[:-1]
-                if stem not in known:
-                    fresh.append(stem)
-            else:
-                fresh.append(piece)
-        fresh = list(dict.fromkeys(fresh))
-        for at in range(0, len(fresh), 256):
-            part = fresh[at : at + 256]
-            known.update(zip(part, self._ids([" " + x for x in part]), strict=True))
+        if older:
+            known.update((x, older[x]) for x in new if x in older)
+            new = [x for x in new if x not in known]
+        ended = [x for x in new if x[-1] in ".," and x[-2:-1].isalpha()]
+        fresh = {x for x in new if x[-1] not in ".,"}
+        fresh.update(x for x in new if x[-1] in ".," and not x[-2:-1].isalpha())
+        fresh.update(x[:-1] for x in ended)
+        fresh = [x for x in fresh if x not in known]
+        for at in range(0, len(fresh), PIECES_AT_ONCE):
+            part = fresh[at : at + PIECES_AT_ONCE]
+            known.update(zip(part, self._ids([x if x[0] == "\n" else " " + x for x in part]), strict=True))
         for piece in ended:
             known[piece] = known[piece[:-1]] + self._stop[piece[-1]]
 
@@ -145,10 +157,12 @@ class Encoder:
         """
         if len(self.known) > CACHED_PIECES:
             self.known, self.older = {}, self.known
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        # a line break begins a piece as a space does, but belongs to it
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
         offsets = np.asarray(split.offsets)
         pieces = split.flatten().dictionary_encode()
-        words, order = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype(np.int64)
+        words = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        order = pieces.indices.to_numpy().astype(np.int64)
         heads = offsets[:-1]
         first = [words[i] for i in order[heads].tolist()]
         # from here on, a text's first piece is an entry of its own, odd if a space follows its end
@@ -171,13 +185,17 @@ class Encoder:
     def _encode_odd(self, text: str) -> bytes:
         """A text where a space meets other white space."""
         head, *pieces = self._cut.split(text)
-        self._learn({x for x in pieces if x not in self.known and not _odd(x)})
-        odd = iter(self._ids([head, *(" " + x for x in pieces if _odd(x))]))
-        return b"".join([next(odd), *(next(odd) if _odd(x) else self.known[x] for x in pieces)])
+        keys = [x[1:] if x[0] == " " else x for x in pieces]
+        whole = [any(map(str.isspace, x[1:])) for x in pieces]  # with white space inside
+        self._learn({k for k, odd in zip(keys, whole, strict=True) if not odd and k not in self.known})
+        made = iter(self._ids([head, *(x for x, odd in zip(pieces, whole, strict=True) if odd)]))
+        return b"".join([next(made), *(next(made) if odd else self.known[k] for k, odd in zip(keys, whole, strict=True))])
 
 
-#: A piece that is empty, or begins or ends with white space of any script.
-_ODD_PIECE = r"^$|^[\s\x1c-\x1f\x{85}\p{Z}]|[\s\x1c-\x1f\x{85}\p{Z}]$"
+#: A piece that is empty, or has white space of any script at an end (a line break before
+#: something visible is none).
+_BLANK = r"[\t\x0b\f\r \x1c-\x1f\x{85}\p{Z}]"
+_ODD_PIECE = rf"^$|^\n?{_BLANK}|(?:{_BLANK}|\n)$"
 
 
 def _joined(entries: list[bytes], order: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -198,10 +216,6 @@ def _open(piece: str) -> bool:
     return piece == "" or piece[-1].isspace()
 
 
-def _odd(piece: str) -> bool:
-    return piece == "" or piece[0].isspace() or piece[-1].isspace()
-
-
 _encoders: dict[str, Encoder] = {}
 
 
