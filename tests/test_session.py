@@ -110,3 +110,37 @@ def test_command_line_replicate(command_line, spark, monkeypatch, capsys):
     assert command_line("replicate", "CLI_T", "--schema", "APP") == (0, True)
     assert "CLI_T\tloaded\t4\t4" in capsys.readouterr().out
     assert command_line("replicate", "CLI_T", "ABSENT", "--schema", "APP")[0] == 1
+
+
+def test_command_line_bad_rows(command_line, spark, tmp_path, capsys):
+    (tmp_path / "a.csv").write_text("k,v\n1,x\nno,y\n")
+    source, output = str(tmp_path / "a.csv"), scratch_dir(spark, "cli")
+    flags = ["--schema", "k int, v string", "--max-bad-share", "0.5", "--required", "v"]
+    assert command_line("csv-to-parquet", source, output, *flags) == (0, True)
+    assert "1 good rows, 1 bad rows" in capsys.readouterr().out
+    assert command_line("csv-to-parquet", source, output, *flags[:3], "0.4")[0] == 1
+    assert "1 of 2 rows are bad" in capsys.readouterr().err
+    assert command_line("csv-to-parquet", source, output, "--max-bad-share", "1")[0] == 1
+
+
+def test_command_line_files_with_unlike_headers(command_line, spark, tmp_path):
+    (tmp_path / "1.csv").write_text("k,v\n1,x\n")
+    (tmp_path / "2.csv").write_text("v,k\ny,2\n")
+    table = "cli_by_name.t"
+    assert command_line("stage-csv", str(tmp_path), table, "--no-properties")[0] == 1
+    assert command_line("stage-csv", str(tmp_path), table, "--no-properties", "--by-name") == (0, True)
+    assert sorted((r.k, r.v) for r in spark.table(table).collect()) == [(1, "x"), (2, "y")]
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_command_line_json_lines(command_line, spark, tmp_path, capsys):
+    line = '{"results": [{"image": "http://%s/x.jpg"}]}\n'
+    output = scratch_dir(spark, "cli")
+    for name, hosts in (("1", "ab"), ("2", "c")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.json").write_text("".join(line % host for host in hosts).replace("x.jpg", f"{name}.jpg"))
+        assert command_line("image-manifest", str(tmp_path / name), output, "--json-lines") == (0, True)
+    found = sorted((r.name, r.url) for r in spark.read.parquet(f"{output}/manifest").collect())
+    assert found == [("1.jpg", "http://b/1.jpg"), ("2.jpg", "http://c/2.jpg")]
+    assert command_line("image-manifest", str(tmp_path / "2"), output, "--json-lines", "--this-run-only")[0] == 0
+    assert [r.name for r in spark.read.parquet(f"{output}/manifest").collect()] == ["2.jpg"]
