@@ -396,11 +396,29 @@ def test_load_into_another_schema(spark, database, table):
     assert count_rows(spark, database, name) == 4
 
 
+def test_load_into_a_schema_without_quotes(spark, database, table):
+    name = f"app.mixed_{table}"
+    for n in (3, 4):
+        assert load_table(spark.range(n), database, name) == n
+    assert count_rows(spark, database, f"APP.MIXED_{table}") == 4
+    with pytest.raises(Exception, match="no table app.nowhere to take the place"):
+        swap_tables(spark, database, "app.nowhere", name)
+
+
 def test_failed_second_rename_takes_the_first_back(spark, database, table, monkeypatch):
     load_table(spark.range(5), database, table)
     write_table(spark.range(9), database, f"{table}_new")
-    with pytest.raises(Exception):
-        swap_tables(spark, database, f"{table}_nowhere", table)
+    real = spark.sql
+
+    def breaks(text, *args, **options):
+        if "RENAME" in text and text.endswith(f"RENAME TO `{table}`") and f"`{table}_NEW`" in text:
+            raise RuntimeError("connection lost")
+        return real(text, *args, **options)
+
+    monkeypatch.setattr(spark, "sql", breaks)
+    with pytest.raises(RuntimeError, match="connection lost"):
+        swap_tables(spark, database, f"{table}_new", table)
+    monkeypatch.undo()
     assert count_rows(spark, database, table) == 5
     swap_tables(spark, database, f"{table}_new", table)
     assert count_rows(spark, database, table) == 9
