@@ -2,10 +2,9 @@
 
 Each round joins every node's larger neighbours to its smallest one, then its
 smaller neighbours; after a few rounds all that is left are stars around the
-smallest id of each component. Minima combine before the shuffle and are written, so that
-the join back to a hub reads two plain shuffles, which Spark can split at run time: a hub
-of any size is no single task. Rounds are written tables, deleted when the next one is
-written; nothing is collected but a count and a checksum.
+smallest id of each component. Minima combine before the shuffle; the links of one hub meet
+its minimum in one task, as two small numbers each. Rounds are written tables, deleted when
+the next one is written; nothing is collected but a count and a checksum.
 """
 
 from __future__ import annotations
@@ -30,10 +29,9 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     for _ in range(MAX_ROUNDS):
         both = _both_ways(current)
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = stored(large, "large")
-        down = stored(large.groupBy("a").agg(F.min("b").alias("m")), "down")
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(down, "a")
             .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
@@ -41,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         before, current = current, stored(small, "links")
-        dropped(before, least, large, down)
+        dropped(before)
         now = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if state == tuple(now):
             break
