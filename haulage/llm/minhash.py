@@ -20,7 +20,8 @@ emitted:
 Each estimate filter keeps pairs 0.3 below the threshold (more than five standard
 deviations for 64 values).
 
-Aggregates of hot values are written before they are joined, so that Spark can split these joins.
+The hubs are written before they are joined to the lists, so that Spark can split that join; the
+joins inside ``_apart`` and those of ``components`` bring the rows of one value into one task.
 
 Defined results: null text, or a text without words, has an empty set, is linked
 with nothing and is its own component; rows that share a doc_id are judged each by
@@ -185,13 +186,13 @@ def _apart(half: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) ->
     """
     placed = half.join(labels, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
     each = placed.join(sets, "node").select("node", "n", "component", F.explode("members").alias("v"))
-    often = stored(each.groupBy("v").agg(F.count("*").alias("often")), "member-counts")
+    often = each.groupBy("v").agg(F.count("*").alias("often"))
     ordered = F.sort_array(F.collect_list(F.struct("often", "v")))
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     kept = F.slice("ordered", F.lit(1), first.cast("int"))
     ranked = each.join(often, "v").groupBy("node", "n", "component").agg(ordered.alias("ordered"))
     prefix = stored(ranked.select("node", "n", "component", F.posexplode(kept).alias("at", "m")).select("node", "n", "component", "at", "m.v"), "prefixes")
-    near = prefix.join(stored(_divided(prefix), "divided"), "v")
+    near = prefix.join(_divided(prefix), "v")
     x, y = near.alias("x"), near.alias("y")
     left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))  # shared members at most
     met = x.join(
@@ -262,7 +263,7 @@ def near_duplicates(
         least = stored(own.groupBy("component").agg(F.min("first_id").alias("least")), "least-ids")
         own = own.join(least, "component").withColumn("component", F.col("least"))
     component = own.select(F.col("n").alias("n_shingles"), "s1", "s2", "component")
-    placed = rows.select("doc_id", "text_hash", *key).join(stored(component, "set-components"), list(key), "left")
+    placed = rows.select("doc_id", "text_hash", *key).join(component, list(key), "left")
     return _finish(placed)
 
 
