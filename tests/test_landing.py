@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from haulage.operators import CheckFailed, verify
+from haulage.operators.checks import observed_metrics
 from haulage.plans import launches, parquet_copy, staging
 from haulage.session import scratch_dir, session_setting
 from haulage.sinks import bad_rows, good_rows, replace_load_dates, write_apart, write_csv
@@ -22,6 +23,7 @@ from haulage.sources import (
     read_csv_tolerant,
     read_json_tolerant,
 )
+from haulage.sources import inferred
 
 
 def rows(df):
@@ -207,6 +209,57 @@ def test_inference_of_no_rows(spark, tmp_path):
     assert read_csv_inferred(spark, str(tmp_path)).dtypes == [("k", "string"), ("v", "string")]
 
 
+ODD_TEXTS = [
+    None, "", " ", "0", "-0", "+7", " 12 ", "2147483648", "9223372036854775807", "9223372036854775808", "0" * 30 + "5",
+    "9" * 38, "9" * 39, "7\n", "7\r\n", "7\x85", "\t7", "1.", ".5", ".", "-", "+", "1e5", "1E-400", "1e", "1f", "1D", "0x1p3",
+    "0X1.8P-2", "0x1", "nan", "NaN", "+nan", "Infinity", "-INF", "inf", "infinit", "1_0", "1,5", "٣", "1 2", "\x001.5\x1f",
+    "2026", "2026-3", "2026-03-07", " 2026-03-07 ", "2026-02-30", "0000-01-01", "9999-12-31", "2026-03-07T", "2026-03-07 25:00",
+    "2026-03-07T01:02:03.000004", "12345-01-01", "true", " FALSE ", "t", "N", "O", "MAIL",
+]
+
+
+def test_flags_are_those_of_all_casts(spark):
+    text = F.trim("t")
+    whole = text.rlike(r"^[+-]?\d{1,38}$")
+    fits = {
+        "int": whole & text.try_cast("int").isNotNull(),
+        "bigint": whole & text.try_cast("bigint").isNotNull(),
+        "decimal": whole,
+        "double": text.try_cast("double").isNotNull(),
+        "date": text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull(),
+        "timestamp": text.rlike(r"^\d{4}-\d{1,2}") & text.try_cast("timestamp").isNotNull(),
+        "boolean": F.lower(text).isin("true", "false"),
+    }
+    expected = F.concat_ws(",", *[F.when(F.col("t").isNull() | fits[k], k) for k in inferred.KINDS])
+    flags = inferred.fitting(F.col("t"))
+    found = F.concat_ws(",", *[F.when(flags.bitwiseAND(F.lit(1 << i)) > 0, k) for i, k in enumerate(inferred.KINDS)])
+    df = spark.createDataFrame([(t,) for t in ODD_TEXTS], "t string").select("t", expected.alias("e"), found.alias("f"))
+    assert [r for r in df.collect() if r.e != r.f] == []
+
+
+def test_texts_that_are_no_numbers_are_not_cast(spark):
+    # each failed cast to double costs an exception
+    df = spark.createDataFrame([(t,) for t in ODD_TEXTS if t is not None], "t string")
+    tried, number = F.col("t").rlike(inferred._NUMBER), F.col("t").try_cast("double").isNotNull()
+    assert df.filter(number & ~tried).count() == 0
+    wasted = {r.t for r in df.filter(tried & ~number).collect()}
+    assert not wasted & {"", "2026-03-07", "2026-03-07T01:02:03.000004", "N", "O", "MAIL", "true", "t", "1 2"}
+
+
+def test_the_staging_pass_is_compiled(spark, monkeypatch):
+    limits = []
+
+    def watched(df, *args):
+        limits.append(int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")))
+        return observed_metrics(df, *args)
+
+    monkeypatch.setattr(inferred, "observed_metrics", watched)
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    inferred.stage_inferred(spark.createDataFrame([tuple("1" * 12)], [f"c{i}" for i in range(12)]))
+    assert limits == [8000]  # beyond it the JVM interprets a method
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+
+
 # --- landed files ---
 
 
