@@ -72,6 +72,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("output")
     sub.add_argument("--run-date", required=True)
     sub.add_argument("--json-lines", action="store_true", help="a document per line, not per file")
+    sub.add_argument("--compression", choices=["gzip"], help="of the files written; default: none")
 
     sub = command("image-manifest", run_launches, "list the image files of launch documents")
     sub.add_argument("documents")
@@ -144,7 +145,9 @@ def run_staging(spark, args):
 
 
 def run_races(spark, args):
-    return races.run(spark, args.documents, args.output, args.run_date, multi_line=not args.json_lines)
+    return races.run(
+        spark, args.documents, args.output, args.run_date, not args.json_lines, args.compression
+    )
 
 
 def run_launches(spark, args):

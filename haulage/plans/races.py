@@ -139,14 +139,18 @@ def run(
     output_path: str,
     run_date: dt.date | str,
     multi_line: bool = True,
+    compression: str | None = None,
 ) -> Fingerprint:
-    """Flatten all landed documents into the folder of the run's load date."""
+    """Flatten all landed documents into the folder of the run's load date.
+
+    ``compression`` is that of the files written.
+    """
     documents = assert_ready(
         read_json_documents(spark, documents_path, DOCUMENT, multi_line)
     )
     load_date = load_date_of(run_date)
     records = flatten(documents).withColumn("load_date", F.lit(load_date))
-    return replace_load_dates(records, output_path, dates=[load_date])
+    return replace_load_dates(records, output_path, dates=[load_date], compression=compression)
 
 
 def read_results(spark: SparkSession, output_path: str) -> DataFrame:

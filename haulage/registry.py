@@ -47,6 +47,7 @@ from haulage.schema import struct_of
 from haulage.session import scratch_dir, session_dir
 from haulage.sinks import (
     bad_rows,
+    compressed,
     create_namespace,
     drop_load_date,
     drop_table_load_date,
@@ -600,7 +601,8 @@ def race_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_race_documents(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "races")
-    race_documents(spark, sf_dir).write.option("ignoreNullFields", "false").json(path)
+    files = compressed("gzip", 100_000)  # so many documents in a file
+    race_documents(spark, sf_dir).write.options(ignoreNullFields="false", **files).json(path)
     return path
 
 
@@ -635,7 +637,7 @@ def race_results_by_date(spark, sf_dir):
     path = landed_race_documents(spark, sf_dir)
     output = scratch_dir(spark, "race-results")
     for run_date in ("2026-03-07", "2026-03-08"):
-        races.run(spark, path, output, run_date, multi_line=False)
+        races.run(spark, path, output, run_date, multi_line=False, compression="gzip")
     storage.remove(spark, path)
     return races.read_results(spark, output)
 

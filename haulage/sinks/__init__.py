@@ -3,6 +3,7 @@
 from haulage.sinks.catalog import create_namespace, drop_table_load_date, replace_table
 from haulage.sinks.files import (
     as_csv_text,
+    compressed,
     dated_path,
     drop_load_date,
     open_writers,
@@ -17,6 +18,7 @@ __all__ = [
     "Quarantine",
     "as_csv_text",
     "bad_rows",
+    "compressed",
     "create_namespace",
     "dated_path",
     "drop_load_date",

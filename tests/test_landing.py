@@ -8,11 +8,12 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
+from haulage import registry
 from haulage.operators import CheckFailed, verify
 from haulage.operators.checks import observed_metrics
 from haulage.plans import launches, parquet_copy, staging
 from haulage.session import scratch_dir, session_setting
-from haulage.sinks import bad_rows, good_rows, replace_load_dates, write_apart, write_csv
+from haulage.sinks import bad_rows, compressed, good_rows, replace_load_dates, write_apart, write_csv
 from haulage.sources import (
     LOSSLESS,
     landed_by_date,
@@ -22,6 +23,7 @@ from haulage.sources import (
     read_csv_inferred,
     read_csv_tolerant,
     read_json_tolerant,
+    read_load_dates,
 )
 from haulage.sources import inferred
 
@@ -295,3 +297,30 @@ def test_manifest_keeps_the_files_of_earlier_runs(spark, tmp_path):
     assert rows(spark.read.parquet(f"{output}/manifest").select("name", "url")) == wanted
     alone = launches.run(spark, str(tmp_path / "1"), output, keep_earlier=False)
     assert alone.files == 2
+
+
+# --- compressed load dates ---
+
+
+def test_compressed_load_dates(spark, monkeypatch):
+    path = scratch_dir(spark, "dated")
+    df = spark.range(0, 1000, 1, 2).withColumn("load_date", F.lit("20260306"))
+    options = compressed("gzip", 200)
+    monkeypatch.setitem(replace_load_dates.__globals__, "compressed", lambda codec: options if codec else {})
+    for _ in range(2):
+        assert replace_load_dates(df, path, dates=["20260306"], compression="gzip").rows == 1000
+    found = read_load_dates(spark, path, T.StructType.fromDDL("id long"))
+    assert rows(found) == sorted(((i, "20260306") for i in range(1000)), key=repr)
+    files = found.inputFiles()
+    assert len(files) == 6 and all(f.endswith(".json.gz") for f in files)  # 500 records a task, 200 a file
+
+
+def test_race_results_are_written_compressed(spark, tmp_path):
+    spark.sql(
+        "SELECT id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 1.5D AS o_totalprice,"
+        " TIMESTAMP_NTZ '1996-01-02 00:00:00' AS o_orderdate, '5-LOW' AS o_orderpriority FROM range(300)"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    found = registry.race_results_by_date(spark, str(tmp_path))
+    sizes = [os.path.getsize(f.removeprefix("file:").replace("///", "/")) for f in found.inputFiles()]
+    assert found.count() == 2 * 4 * 300
+    assert sum(sizes) < 50 * found.count()  # 350 bytes a record as plain text
