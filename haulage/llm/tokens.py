@@ -25,6 +25,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
-CACHED_PIECES = 300_000
-TEXTS_AT_ONCE = 1024
-PIECES_AT_ONCE = 4096
+BYTES_AT_ONCE = 8 << 20
+PIECES_IN_LINE = 64
 
 SEGMENT = (
     "shard int, segment int, segment_start long, n_ids long, bits int, block_offsets array<long>, "
@@ -90,13 +90,12 @@ def unpack(payload: bytes, offsets, bits: int, n_ids: int, start: int = 0, stop:
 
 
 class Encoder:
-    """A tokenizer file, with the ids of pieces seen before.
+    """A tokenizer file.
 
     A byte-level tokenizer never joins a space to what stands before it, nor a line break to
     anything visible, so a text falls into pieces before each single space or line break and
-    pieces are encoded apart. Texts where these meet other white space are cut only between
-    visible characters. ``known`` has pieces without their leading space (a line break stays);
-    when it is full it becomes ``older``, from which pieces still in use come back.
+    pieces are encoded apart, once for all the texts of a call. Texts where these meet other
+    white space are cut only between visible characters.
     """
 
     def __init__(self, path: str):
@@ -105,14 +104,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         if hasattr(self.tokenizer.model, "_resize_cache"):
-            self.tokenizer.model._resize_cache(0)  # pieces are kept here
+            self.tokenizer.model._resize_cache(0)  # a piece is encoded once a call
         marks = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)}
         #: A control string of the tokenizer, before which and after which texts are encoded apart.
         self.mark, self.mark_id = next(iter(marks.items()), (None, None))
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
 
     _cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
+    _blank_inside = re.compile(r".\s", re.DOTALL)
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece; all pieces are one call, between control strings."""
@@ -128,68 +126,78 @@ class Encoder:
         made = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in made]
 
-    def _learn(self, new: set[str]) -> None:
-        """Pieces not in ``known``; a full stop or comma after a letter is encoded apart."""
-        known, older = self.known, self.older
-        if older:
-            known.update((x, older[x]) for x in new if x in older)
-            new = [x for x in new if x not in known]
-        ended = [x for x in new if x[-1] in ".," and x[-2:-1].isalpha()]
-        fresh = {x for x in new if x[-1] not in ".,"}
-        fresh.update(x for x in new if x[-1] in ".," and not x[-2:-1].isalpha())
-        fresh.update(x[:-1] for x in ended)
-        fresh = [x for x in fresh if x not in known]
-        for at in range(0, len(fresh), PIECES_AT_ONCE):
-            part = fresh[at : at + PIECES_AT_ONCE]
-            known.update(zip(part, self._ids([x if x[0] == "\n" else " " + x for x in part]), strict=True))
-        for piece in ended:
-            known[piece] = known[piece[:-1]] + self._stop[piece[-1]]
-
     @cached_property
-    def _stop(self) -> dict[str, bytes]:
-        return dict(zip(".,", self._ids([".", ","]), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _token_bytes(self) -> np.ndarray:
+        """How many bytes of text each id stands for: a character of a byte-level token is one."""
+        added = self.tokenizer.get_added_tokens_decoder()
+        named = self.tokenizer.get_vocab(with_added_tokens=True)
+        sizes = np.zeros(max(named.values()) + 1, dtype=np.int64)
+        for token, i in named.items():
+            sizes[i] = len(token.encode()) if i in added else len(token)
+        return sizes
+
+    def _ids_in_lines(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, and how many each has.
+
+        The pieces begin with a space or line break before something visible, and end with
+        something visible: many are one line, and the bytes that each id stands for tell where a
+        piece ends. If they don't, the pieces are encoded one by one.
+        """
+        if not len(pieces):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        bounds = np.append(np.arange(0, len(pieces), PIECES_IN_LINE), len(pieces))
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces), pa.scalar("", pieces.type))
+        made = self.tokenizer.encode_batch_fast(lines.to_pylist(), add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(x.ids for x in made), np.uint32)
+        ends, wanted = np.cumsum(self._token_bytes[ids]), np.cumsum(pc.binary_length(pieces).to_numpy())
+        cuts = np.searchsorted(ends, wanted)
+        if cuts[-1] == len(ids) - 1 and np.array_equal(ends[cuts], wanted):
+            return ids, np.diff(cuts, prepend=-1)
+        apart = self._ids(pieces.to_pylist())
+        return np.frombuffer(b"".join(apart), dtype=np.uint32), _sizes(apart)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """32-bit ids of each text, in this machine's byte order.
 
-        Arrow splits all texts and numbers their distinct pieces, so a piece is looked up once
+        Arrow splits all texts and numbers their distinct pieces, so a piece is encoded once
         however often it stands in them; numpy puts the ids of the pieces in order.
         """
-        if len(self.known) > CACHED_PIECES:
-            self.known, self.older = {}, self.known
         # a line break begins a piece as a space does, but belongs to it
-        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " \n"), " ")
         offsets = np.asarray(split.offsets)
         pieces = split.flatten().dictionary_encode()
-        words = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
-        order = pieces.indices.to_numpy().astype(np.int64)
+        words, order = pieces.dictionary, pieces.indices.to_numpy().astype(np.int64)
         heads = offsets[:-1]
-        first = [words[i] for i in order[heads].tolist()]
+        first = words.take(pa.array(order[heads])).to_pylist()
         # from here on, a text's first piece is an entry of its own, odd if a space follows its end
         order[heads] = len(words) + np.arange(len(texts))
         followed = np.diff(offsets) > 1
-        odd = np.concatenate((pc.match_substring_regex(pieces.dictionary, _ODD_PIECE).to_numpy(zero_copy_only=False), followed & [_open(x) for x in first]))
+        odd_word = pc.match_substring_regex(words, _ODD_PIECE).to_numpy(zero_copy_only=False)
+        odd = np.concatenate((odd_word, followed & np.array([_open(x) for x in first], dtype=bool)))
         odd_text = np.add.reduceat(odd[order].astype(np.int64), heads) > 0 if len(texts) else np.zeros(0, bool)
-        entries = list(map(self.known.get, words))
-        gaps = [i for i, ids in enumerate(entries) if ids is None]
-        self._learn({words[i] for i, skip in zip(gaps, odd[gaps].tolist(), strict=True) if not skip})
-        known = self.known
-        for i in gaps:
-            entries[i] = known.get(words[i], b"")
-        entries += self._ids(first)
-        out = _joined(entries, order, offsets)
-        for n in np.flatnonzero(odd_text).tolist():
-            out[n] = self._encode_odd(texts[n])
+        used = np.bincount(order, minlength=len(odd))[: len(words)] > 0
+        asked = words.filter(pa.array(used & ~odd_word))
+        spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), asked, pa.scalar(" ", pa.large_string()))
+        ids, counts = self._ids_in_lines(pc.if_else(pc.starts_with(asked, "\n"), asked, spaced))
+        made = self._ids(first)
+        sizes = np.zeros(len(odd), dtype=np.int64)
+        sizes[np.flatnonzero(used & ~odd_word)] = counts
+        sizes[len(words) :] = _sizes(made)
+        out = _joined(np.concatenate((ids, np.frombuffer(b"".join(made), dtype=np.uint32))), sizes, order, offsets)
+        rest = np.flatnonzero(odd_text)
+        for n, made_apart in zip(rest.tolist(), self._encode_odd(texts.take(pa.array(rest)).to_pylist()), strict=True):
+            out[n] = made_apart
         return out
 
-    def _encode_odd(self, text: str) -> bytes:
-        """A text where a space meets other white space."""
-        head, *pieces = self._cut.split(text)
-        keys = [x[1:] if x[0] == " " else x for x in pieces]
-        whole = [any(map(str.isspace, x[1:])) for x in pieces]  # with white space inside
-        self._learn({k for k, odd in zip(keys, whole, strict=True) if not odd and k not in self.known})
-        made = iter(self._ids([head, *(x for x, odd in zip(pieces, whole, strict=True) if odd)]))
-        return b"".join([next(made), *(next(made) if odd else self.known[k] for k, odd in zip(keys, whole, strict=True))])
+    def _encode_odd(self, texts: list[str]) -> list[bytes]:
+        """Texts where a space meets other white space."""
+        cut = [self._cut.split(text) for text in texts]
+        plain = list({x for _, *pieces in cut for x in pieces if not self._blank_inside.search(x)})
+        ids, counts = self._ids_in_lines(pa.array(plain, pa.large_string()))
+        raw, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        known = {x: raw[a:b] for x, a, b in zip(plain, [0, *ends[:-1]], ends, strict=True)} if plain else {}
+        rest = iter(self._ids([x for head, *pieces in cut for x in (head, *(x for x in pieces if x not in known))]))
+        return [b"".join([next(rest), *(known[x] if x in known else next(rest) for x in pieces)]) for _, *pieces in cut]
 
 
 #: A piece that is empty, or has white space of any script at an end (a line break before
@@ -198,10 +206,12 @@ _BLANK = r"[\t\x0b\f\r \x1c-\x1f\x{85}\p{Z}]"
 _ODD_PIECE = rf"^$|^\n?{_BLANK}|(?:{_BLANK}|\n)$"
 
 
-def _joined(entries: list[bytes], order: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """Per text, the ids of its entries one after another."""
-    sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
-    ids = np.frombuffer(b"".join(entries), dtype=np.uint32)
+def _sizes(entries: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+
+
+def _joined(ids: np.ndarray, sizes: np.ndarray, order: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Per text, the ids of its entries one after another; ``ids`` has those of all entries."""
     begins = np.cumsum(sizes) - sizes
     each = sizes[order]
     ends = np.cumsum(each)
@@ -226,6 +236,14 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where to cut texts so that a part has ``BYTES_AT_ONCE`` or little more."""
+    if len(texts):
+        ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+        cuts = np.flatnonzero(np.diff(ends // BYTES_AT_ONCE)) + 1
+        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True)
+
+
 def _segments(tokenizer: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         import os
@@ -251,10 +269,9 @@ def _segments(tokenizer: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]
 
         size = 0
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), TEXTS_AT_ONCE):
-                part = [x or "" for x in texts.slice(at, TEXTS_AT_ONCE).to_pylist()]
-                for doc_id, made in zip(ids[at : at + TEXTS_AT_ONCE], coder.encode(part), strict=True):
+            ids, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "")
+            for begin, stop in _parts(texts):
+                for doc_id, made in zip(ids[begin:stop], coder.encode(texts.slice(begin, stop - begin)), strict=True):
                     held.append((doc_id, made + end))
                     size += len(made) // 4 + 1
                     if size >= SEGMENT_IDS:

@@ -9,10 +9,11 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from haulage.llm import negatives, queries, repair, suffixes
+from haulage.llm import negatives, queries, repair, suffixes, tokens
 
 NAN, INF = float("nan"), float("inf")
 
@@ -247,3 +248,51 @@ def test_suffix_order_and_cover():
         assert found == sorted(found)
         assert all((found[i] == found[i + 1]) == (group[i] == group[i + 1]) for i in range(len(found) - 1))
         assert sorted(x for part in sorter.parts(places, 100) for x in part.tolist()) == places.tolist()
+
+
+# --- tokens: pieces encoded in lines ---
+
+PIECES = [
+    "", " ", "\n", "a", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "a\n\nb", "\na", "a\tb c", "a \tb", "don't 's 'll", "x.\u2028y z",
+    "<|endoftext|>", "a<|endoftext|>b c", "a <|endoftext|> b", "naïve Größe 中文 字\u3000x", "a\u00a0b c\u00a0 d", "\x1c a\x1cb", "1 23 456.",
+    "e\u0301 \u0301 x", "🙂🙂 🙂", "\x00 \x00a", "word, word. word", "\r\na b\r\nc", "a\u200b b \u200bc", "\x85a b\x85 c", "'s\n's",
+]
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_pieces_in_lines_have_the_ids_of_whole_texts(exact, monkeypatch):
+    coder = tokens.Encoder(queries.tokenizer_path())
+    if not exact:  # sizes that say nothing: pieces are then encoded one by one
+        monkeypatch.setitem(coder.__dict__, "_token_bytes", np.ones(1 << 17, dtype=np.int64))
+    draw = np.random.default_rng(5)
+    texts = PIECES + ["".join(draw.choice([*PIECES, " ", "\n", "the"], 40)) for _ in range(300)]
+    made = coder.encode(pa.array(texts))
+    plain = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, np.uint32).tolist() for x in made] == [x.ids for x in plain]
+    assert coder.encode(pa.array([], pa.string())) == []
+
+
+def test_a_piece_is_encoded_once_a_call_and_without_control_strings(monkeypatch):
+    coder, seen = tokens.Encoder(queries.tokenizer_path()), []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(texts)
+            return real.encode_batch_fast(texts, **options)
+
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+    real, coder.tokenizer = coder.tokenizer, Watched()
+    words = [f"w{i}" for i in range(1000)]
+    coder.encode(pa.array([" ".join(words)] * 3))
+    assert sum(map(len, seen)) < 2 * sum(len(x) + 1 for x in words)
+    assert not any(coder.mark in x for x in seen if "w7 " in x)
+
+
+def test_parts_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "BYTES_AT_ONCE", 100)
+    texts = pa.array(["x" * n for n in (0, 99, 30, 250, 0, 1)])
+    parts = list(tokens._parts(texts))
+    assert [i for a, b in parts for i in range(a, b)] == list(range(6)) and len(parts) > 2
+    assert list(tokens._parts(pa.array([], pa.string()))) == []
