@@ -37,6 +37,7 @@ from haulage.llm.words import chunks, flat, lists, sequence_hashes, words_of
 
 WINDOW = 35
 PHRASE = 8
+SHARD_BYTES = 1 << 20
 
 
 def phrase_places(words: np.ndarray, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,7 +163,7 @@ def _remove(window: int):
         for batch in batches:
             k1, k2, runs = (batch.column(i).to_pylist() for i in range(1, 4))
             data, starts = flat(batch.column(0))
-            for first, last in chunks(starts):
+            for first, last in chunks(starts, SHARD_BYTES):
                 numbers: dict[bytes, int] = {}
                 words, coded, rows = [], [], []
                 for at in range(first, last):

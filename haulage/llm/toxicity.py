@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from haulage.llm.storing import small_batches
 from haulage.llm.words import mix, words_of
 
 WIDTHS = (1, 2, 3)
@@ -267,8 +268,10 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
     columns = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     reached = columns.mapInArrow(_steps(model), f"doc_id {dict(docs.dtypes)['doc_id']}, lang string, step int")
     met = reached.join(others, F.col("doc_id") == F.col("label_id")).filter("lang != ''")
+    with small_batches(docs.sparkSession):
+        totals = met.groupBy("lang", "toxic", "step").count().collect()
     counts: dict[str, np.ndarray] = {}
-    for lang, label, step, n in met.groupBy("lang", "toxic", "step").count().collect():
+    for lang, label, step, n in totals:
         counts.setdefault(lang, np.zeros((2, len(GRID) + 1), dtype=np.int64))[label, step] += n
     model.calibrate(counts)
     return model
