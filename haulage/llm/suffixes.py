@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,12 @@ from haulage.llm.storing import dropped, stored
 
 WINDOW = 100
 GRAM = 32
-LOAD_BYTES = 1 << 22
-PART = 1 << 18
+LOAD_BYTES = 1 << 18
+PART = 1 << 16
 MOST_FORMS = 1024
-PIECE = 1 << 20
+PIECE = 1 << 16
+#: Bits of a place in a piece; a gram is ranked by its hash's other bits.
+PLACE_BITS = 20
 
 #: A perfect difference set, so its differences cover all remainders.
 PERIOD = 31
@@ -60,21 +63,28 @@ _REACH = np.array(
 
 
 def runs_of(data: np.ndarray, row_ends: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(place, windows, gram, hash of the run's bytes) of every run; ``row_ends`` are the ends of the texts in ``data``."""
+    """(place, windows, gram, hash of the run's bytes) of every run; ``row_ends`` are the ends of the texts in ``data``.
+
+    Hashes and places share a number, so the least number of a window names its first least gram.
+    """
     none = np.zeros(0, np.int64)
     n = len(data) - window + 1
     if n <= 0:
         return none, none, none, none
-    sums = words.prefix_sums(data.astype(np.uint64) + np.uint64(1), words._BYTE_POWERS)
+    if len(data) > 1 << PLACE_BITS:
+        raise ValueError(f"a piece has at most {1 << PLACE_BITS} bytes")
+    values = data.astype(np.uint64) + np.uint64(1)
     at = np.arange(len(data) - gram + 1)
-    least, place, span = words.range_hashes(sums, words._BYTE_POWERS, at, at + gram), at, 1
+    sums = words.prefix_sums(values, words._BYTE_POWERS)
+    grams = words.range_hashes(sums, words._BYTE_POWERS, slice(0, len(at)), slice(gram, None), gram)
+    bits = np.uint64((1 << PLACE_BITS) - 1)
+    least, span = (grams & ~bits) | at.astype(np.uint64), 1
     width = window - gram + 1
     while span < width:
         step = min(span, width - span)
-        keep = least[:-step] <= least[step:]
-        least = np.where(keep, least[:-step], least[step:])
-        place = np.where(keep, place[:-step], place[step:])
+        least = np.minimum(least[:-step], least[step:])
         span += step
+    place = (least & bits).view(np.int64)
     inside = np.ones(n, dtype=bool)  # windows that don't reach into the next text
     for end in row_ends:
         inside[max(end - window + 1, 0) : end] = False
@@ -82,9 +92,9 @@ def runs_of(data: np.ndarray, row_ends: np.ndarray, window: int, gram: int) -> t
     first = np.flatnonzero(new & inside)
     stop = np.append(np.flatnonzero(~inside), n)
     ends = np.minimum(np.append(first[1:], n), stop[np.searchsorted(stop, first)])
-    sums = words.prefix_sums(data.astype(np.uint64) + np.uint64(1), words._WORD_POWERS)
+    sums = words.prefix_sums(values, words._WORD_POWERS)
     form = words.range_hashes(sums, words._WORD_POWERS, first, ends + window - 1)
-    return first, ends - first, least[first].view(np.int64), form.view(np.int64)
+    return first, ends - first, grams[place[first]].view(np.int64), form.view(np.int64)
 
 
 def _runs_by_row(column: pa.Array, window: int, gram: int) -> Iterator[tuple[int, bytes, list[tuple[np.ndarray, ...]]]]:
@@ -140,7 +150,9 @@ def _read(window: int, gram: int):
         for batch in batches:
             ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for row, text, parts in _runs_by_row(batch.column(1), window, gram):
-                grams, times = np.unique(np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int64), return_counts=True)
+                grams = np.sort(np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int64))
+                first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else grams
+                grams, times = grams[first], np.diff(np.append(first, len(grams)))
                 hexed, k1, k2 = _key(text)
                 yield ids[row], hashes[row], k1, k2, len(text), hexed, grams[times == 1], grams[times > 1]
 
@@ -150,24 +162,46 @@ def _read(window: int, gram: int):
 RUNS = "ordinal long, gram long, form long, n long, places array<long>"
 
 
+def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted ``wanted``."""
+    if not len(wanted):
+        return np.zeros(len(values), dtype=bool)
+    return wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values
+
+
 def _runs(window: int, gram: int):
     """The runs of (text, ordinal, k1, k2, picks) in the buckets ``picks``; equal runs of a text are one row."""
 
     def rows(batches):
         for batch in batches:
-            ordinals, k1, k2, picks = (batch.column(i).to_pylist() for i in range(1, 5))
+            ordinals, k1, k2 = (batch.column(i).to_pylist() for i in range(1, 4))
             for row, text, parts in _runs_by_row(batch.column(0), window, gram):
                 if _key(text)[1:] != (k1[row], k2[row]):
                     continue  # another text with the same 64-bit hash
-                wanted, found = np.array(picks[row], dtype=np.int64), {}
-                for place, n, grams, forms in parts:
-                    keep = np.isin(grams, wanted)
-                    for p, m, g, f in zip(*(x[keep].tolist() for x in (place, n, grams, forms)), strict=True):
-                        found.setdefault((g, f, m), []).append(p)
-                for (g, f, m), places in found.items():
-                    yield ordinals[row], g, f, m, places
-
-    return lambda batches: _gather(RUNS, rows(batches))
+                wanted = np.sort(batch.column(4)[row].values.to_numpy(zero_copy_only=False))
+                kept = [[x[_among(p[2], wanted)] for x in p] for p in parts]
+                place, n, grams, forms = (np.concatenate(x) for x in zip(*kept, strict=True))
+                order = np.lexsort((place, n, forms, grams))
+                place, n, grams, forms = place[order], n[order], grams[order], forms[order]
+                new = np.ones(len(order), dtype=bool)
+                new[1:] = (grams[1:] != grams[:-1]) | (forms[1:] != forms[:-1]) | (n[1:] != n[:-1])
+                first = np.flatnonzero(new)
+                yield np.full(len(first), ordinals[row]), grams[first], forms[first], n[first], np.diff(np.append(first, len(new))), place
+
+    def run(batches, most: int = 5000):
+        held, size = [], 0
+        for found in chain(rows(batches), [None]):
+            if found is not None:
+                held.append(found)
+                size += len(found[0])
+            if held and (found is None or size >= most):
+                *columns, sizes, places = (np.concatenate(x) for x in zip(*held, strict=True))
+                offsets = np.concatenate(([0], np.cumsum(sizes)))
+                names = [x.split()[0] for x in RUNS.split(", ")]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), words.lists(places, offsets, pa.int64())], names=names)
+                held, size = [], 0
+
+    return run
 
 
 FORMS = "gram long, form long, n long, ordinal long, place long, bytes binary"
@@ -323,10 +357,9 @@ def _sorted_late(window: int, load: int, most: int):
                 at, group = sorter.sort(part)
                 least = np.minimum.reduceat(when[at], np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))))
                 late[at] = when[at] > least[group]
-            for i, x in enumerate(held):
-                found = np.flatnonzero(late[begin[i] : begin[i] + x[2]])
-                if len(found):
-                    yield x[0], x[1], x[2], found
+            for i in np.unique(which[late[starts]]).tolist():
+                x = held[i]
+                yield x[0], x[1], x[2], np.flatnonzero(late[begin[i] : begin[i] + x[2]])
 
     return lambda batches: _gather(LATE, rows(batches))
 
@@ -339,24 +372,28 @@ def _removed(window: int):
 
     def rows(batches):
         for batch in batches:
-            texts, ordinals, k1, k2, runs = (batch.column(i) for i in range(5))
+            ordinals, k1, k2 = (batch.column(i).to_pylist() for i in range(1, 4))
+            data, starts = words.flat(batch.column(0))
+            runs = batch.column(4)
+            bounds, runs = runs.offsets.to_numpy(), runs.values
+            place, n = (runs.field(x).to_numpy(zero_copy_only=False) for x in ("place", "n"))
+            late = runs.field("late")
+            whole = late.is_null().to_numpy(zero_copy_only=False)
+            counts = late.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            at = np.repeat(place, counts) + late.flatten().to_numpy(zero_copy_only=False)
+            ends = np.concatenate(([0], np.cumsum(counts)))
             for row in range(batch.num_rows):
-                text = (texts[row].as_py() or "").encode()
-                if _key(text)[1:] != (k1[row].as_py(), k2[row].as_py()):
+                text = data[starts[row] : starts[row + 1]]
+                if _key(text.tobytes())[1:] != (k1[row], k2[row]):
                     continue
-                change = np.zeros(len(text) + 1, dtype=np.int32)
-                for x in runs[row].as_py():
-                    if x["late"] is None:
-                        change[x["place"]] += 1
-                        change[x["place"] + x["n"] + window - 1] -= 1
-                    else:
-                        at = x["place"] + np.array(x["late"], dtype=np.int64)
-                        change[at] += 1
-                        change[at + window] -= 1
-                gone = np.cumsum(change[:-1]) > 0
+                a, b = bounds[row], bounds[row + 1]
+                own, each = whole[a:b], at[ends[a] : ends[b]]
+                begins = np.concatenate((place[a:b][own], each))
+                stops = np.concatenate(((place[a:b] + n[a:b])[own] + window - 1, each + window))
+                size = len(text) + 1
+                gone = np.cumsum(np.bincount(begins, minlength=size) - np.bincount(stops, minlength=size))[:-1] > 0
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                yield ordinals[row].as_py(), int(gone.sum()), spans, sha256(kept).hexdigest()
+                yield ordinals[row], int(gone.sum()), spans, sha256(text[~gone].tobytes()).hexdigest()
 
     return lambda batches: _gather(DONE, rows(batches))
 
